@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from tessera.llm.decontaminate import op5_fm_index_decontamination
 from tessera.llm.sharding import op4_feistel_shards
 from tessera.llm.simhash import op7_simhash_components
 
 QUERIES = {
     "op4_feistel_shards": op4_feistel_shards,
+    "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op7_simhash_components": op7_simhash_components,
 }
 

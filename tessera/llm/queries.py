@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from tessera.llm.bitpack import op8_bit_packed_tokens
+from tessera.llm.bpe import op3_streaming_bpe
 from tessera.llm.decontaminate import op5_fm_index_decontamination
 from tessera.llm.sharding import op4_feistel_shards
 from tessera.llm.simhash import op7_simhash_components
 
 QUERIES = {
+    "op3_streaming_bpe": op3_streaming_bpe,
     "op4_feistel_shards": op4_feistel_shards,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op7_simhash_components": op7_simhash_components,
+    "op8_bit_packed_tokens": op8_bit_packed_tokens,
 }
 
 SQL: dict[str, str] = {}

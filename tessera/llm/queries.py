@@ -5,15 +5,19 @@ from __future__ import annotations
 from tessera.llm.bitpack import op8_bit_packed_tokens
 from tessera.llm.bpe import op3_streaming_bpe
 from tessera.llm.decontaminate import op5_fm_index_decontamination
+from tessera.llm.resample import op1_importance_resampling
 from tessera.llm.sharding import op4_feistel_shards
 from tessera.llm.simhash import op7_simhash_components
+from tessera.llm.topk import OP10_SQL, op10_uniform_threshold_topk
 
 QUERIES = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op3_streaming_bpe": op3_streaming_bpe,
     "op4_feistel_shards": op4_feistel_shards,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op7_simhash_components": op7_simhash_components,
     "op8_bit_packed_tokens": op8_bit_packed_tokens,
+    "op10_uniform_threshold_topk": op10_uniform_threshold_topk,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_uniform_threshold_topk": OP10_SQL}

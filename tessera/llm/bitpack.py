@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,20 +92,40 @@ class PackedFile:
         return self.ids(int(self.firsts[k]), int(self.firsts[k + 1]) if k + 1 < self.docs else self.n)
 
 
+@lru_cache(maxsize=1)
+def library_ids(path: str) -> tokens.PieceTable:
+    """The library's ids of pieces; one table a Python worker, so that it outlives a task."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    mark = next(t.content for t in tokenizer.get_added_tokens_decoder().values() if t.special)
+    mark_id = tokenizer.token_to_id(mark)
+
+    def encode(pieces: list[str]) -> list[np.ndarray]:
+        """Many pieces in one call, a special token between them; those that may hold one themselves go alone."""
+        plain = [p for p in pieces if "<" not in p]
+        found = {}
+        for k in range(0, len(plain), 4096):
+            own = plain[k : k + 4096]
+            ids = np.array(tokenizer.encode_batch_fast([mark.join(own)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.concatenate(([-1], np.flatnonzero(ids == mark_id), [len(ids)])).tolist()
+            found |= {p: ids[a + 1 : b] for p, a, b in zip(own, cuts, cuts[1:])}
+        return [found[p] if p in found else np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u4") for p in pieces]
+
+    return tokens.PieceTable(encode)
+
+
 def encoded(df: DataFrame, path: str, width: int, end_id: int) -> DataFrame:
     """(doc_id, bucket, n, packed) with the end id appended, packed by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        memo = tokens.PieceMemo(lambda p: np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes())
-        end = np.array([end_id], "<u4").tobytes()
+        table, end = library_ids(path), np.array([end_id], "<u4")
         for batch in batches:
             for part in bytescan.slices(batch, "text"):
-                ids = [np.frombuffer(memo.text(t or "") + end, "<u4") for t in part.column("text").to_pylist()]
+                flat, first = table(part.column("text"))
+                ids = [np.concatenate((flat[a:b], end)) for a, b in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), part.column("bucket").cast(pa.int32()), pa.array([len(x) for x in ids], pa.int64()), pa.array([pack(x, width) for x in ids], pa.binary())],
                     names=["doc_id", "bucket", "n", "packed"],

@@ -22,6 +22,7 @@ import json
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,7 @@ from tessera.llm import bytescan, tokens
 CHUNK = 1024
 #: Pieces without white space longer than this go through the stream.
 LONG_PIECE = 2048
-#: Words remembered in a task; then memory starts anew.
-WORDS = 300_000
+_NO_RANK = 1 << 62
 DECODE_IDS = 1 << 16
 
 
@@ -61,6 +61,7 @@ class Merges:
         self.merged: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(pairs):
             self.merged.setdefault((vocabulary[a], vocabulary[b]), (rank, vocabulary[a + b]))
+        self.pairs = {a << 32 | b: x for (a, b), x in self.merged.items()}
         symbols = byte_symbols()
         self.inner = [vocabulary[c] for c in symbols]
         self.last = [vocabulary[c + self.suffix] for c in symbols]
@@ -93,21 +94,19 @@ class Merges:
 
     def apply(self, ids: list[int]) -> list[int]:
         """Merges until no pair of the list is left, least rank first, left to right."""
-        merged = self.merged
-        while len(ids) > 1:
-            best = min((merged[p][0] for p in zip(ids, ids[1:]) if p in merged), default=None)
-            if best is None:
+        merged, none = self.pairs.get, (_NO_RANK, 0)
+        found = [merged(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is none:
                 break
-            out, k, n = [], 0, len(ids)
-            while k < n:
-                found = merged.get((ids[k], ids[k + 1])) if k + 1 < n else None
-                if found and found[0] == best:
-                    out.append(found[1])
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
+            k = found.index(best)
+            ids[k : k + 2] = [best[1]]
+            del found[k]
+            if k:
+                found[k - 1] = merged(ids[k - 1] << 32 | best[1], none)
+            if k < len(found):
+                found[k] = merged(best[1] << 32 | ids[k + 1], none)
         return ids
 
     def word(self, raw: bytes) -> list[int]:
@@ -120,7 +119,6 @@ class WordStream:
 
     def __init__(self, merges: Merges) -> None:
         self.merges, self.held = merges, b""
-        self.size: dict[int, int] = {}
 
     def feed(self, raw: bytes) -> Iterator[int]:
         self.held += raw
@@ -139,11 +137,9 @@ class WordStream:
             self.held = self.held[emitted:]
 
     def close(self) -> list[int]:
-        out = []
-        # what is held is bounded, and its end is known: encode it as a word
-        out = self.merges.word(self.held)
-        self.held = b""
-        return out
+        """What is held is bounded, and its end is known now."""
+        held, self.held = self.held, b""
+        return self.merges.word(held)
 
 
 class Encoder:
@@ -154,8 +150,8 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.merges = Merges(path)
-        self.words: dict[str, list[int]] = {}
-        self.memo = tokens.PieceMemo(lambda piece: np.array(list(self.piece(piece)), "<u4").tobytes())
+        self.words = tokens.Memo(lambda w: tuple(self.merges.word(w.encode())))
+        self.table = tokens.PieceTable(lambda pieces: [np.array(list(self.piece(p)), "<u4") for p in pieces])
         names = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.special_chars = max(map(len, names), default=0)
@@ -165,18 +161,9 @@ class Encoder:
         """NFC, then each character's lower case by itself (no rule for a final sigma)."""
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.merges.word(word.encode())
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
-
     def _plain(self, text: str) -> Iterator[int]:
         for m in self._WORD.finditer(self.normal(text)):
-            yield from self.word(m.group())
+            yield from self.words[m.group()]
 
     def piece(self, piece: str) -> Iterator[int]:
         """Ids of a text without white space."""
@@ -193,8 +180,15 @@ class Encoder:
             at = m.end()
         yield from self._plain(piece[at:] if at else piece)
 
-    def text(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.memo.text(text or ""), "<u4")
+    def texts(self, column: pa.Array) -> list[np.ndarray]:
+        ids, first = self.table(column)
+        return [ids[a:b] for a, b in zip(first, first[1:])]
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """One encoder a Python worker, so that what it remembers outlives a task."""
+    return Encoder(path)
 
 
 class PieceStream:
@@ -263,7 +257,7 @@ class PieceStream:
             at, word = m.end(), m.group()
             whole = self.encoder._RUNS["L"].fullmatch(word) or self.encoder._RUNS["O"].fullmatch(word)
             if at < len(text) or final or not whole:
-                yield from self.encoder.word(word)
+                yield from self.encoder.words[word]
             else:
                 self.kind = "L" if self.encoder._RUNS["L"].fullmatch(word) else "O"
                 yield from self.open.feed(word.encode())
@@ -316,11 +310,11 @@ def encode_texts(df: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, encoder = to_arrow_schema(schema), Encoder(path)
+        arrow, encoder = to_arrow_schema(schema), shared_encoder(path)
         machine = TextMachine(encoder.merges)
         for batch in batches:
             for part in bytescan.slices(batch, "text"):
-                all_ids = [encoder.text(t) for t in part.column("text").to_pylist()]
+                all_ids = encoder.texts(part.column("text"))
                 decoded = []
                 for ids in all_ids:
                     digest = hashlib.sha256()

@@ -96,30 +96,24 @@ def search_shard(columns: list[pa.Array], block: Block) -> tuple[np.ndarray, ...
     a, b = bytescan.runs(sym > 0)
     long = b - a >= int(block.lengths.min())
     a, size = a[long], (b - a)[long] + 1
-    place = ranges(a, size)
+    place = bytescan.ranges(a, size)
     at = which = np.zeros(0, np.int64)
     if len(place):
         index = FMIndex(sym[place], len(block.vocabulary) + 1)
         lo, hi = index.search(block.patterns, block.lengths)
         which = np.repeat(np.arange(len(lo)), hi - lo)
-        at = place[index.locate(ranges(lo, hi - lo))]
+        at = place[index.locate(bytescan.ranges(lo, hi - lo))]
     depth = np.bincount(at, minlength=len(sym) + 1) - np.bincount(at + block.lengths[which], minlength=len(sym) + 1)
     a, b = bytescan.runs(np.cumsum(depth[:-1]) > 0)
     own = np.searchsorted(bounds, a, side="right") - 1
     spans = np.stack((a - bounds[own], b - bounds[own]), axis=1)
     cuts = np.stack((start[a - own], end[b - own - 1]), axis=1)
     times = block.item_first[which + 1] - block.item_first[which]
-    pairs = np.stack((np.repeat(np.searchsorted(bounds, at, side="right") - 1, times), block.items[ranges(block.item_first[which], times)]), axis=1)
+    pairs = np.stack((np.repeat(np.searchsorted(bounds, at, side="right") - 1, times), block.items[bytescan.ranges(block.item_first[which], times)]), axis=1)
     pairs = np.unique(pairs, axis=0)
     return count, np.searchsorted(own, np.arange(texts + 1)), spans, cuts, np.searchsorted(pairs[:, 0], np.arange(texts + 1)), pairs[:, 1]
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """starts[0], starts[0]+1, ... (sizes[0] of them), then the same of starts[1], and so on."""
-    skipped = np.cumsum(sizes) - sizes
-    return np.arange(int(sizes.sum())) + np.repeat(starts - skipped, sizes)
-
-
 def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int) -> DataFrame:
     """``keep`` and the findings of a block, joined with those that the rows already carry."""
     schema = T.StructType([df.schema[c] for c in keep] + _FOUND)

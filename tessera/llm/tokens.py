@@ -1,8 +1,11 @@
-"""Words of a tokenizer file, and memoised encoding of texts by their white-space pieces.
+"""Words of a tokenizer file, and encoding of texts by their pieces, each distinct piece once.
 
 The tokenizer of ``word_bpe_49k.json`` drops white space and never lets a word span it, and neither normalisation nor
-lower-casing looks across it. So the ids of a text are those of its white-space pieces in order, and a piece needs to be
-encoded only once a task. Special tokens contain no white space, but match inside pieces as they do inside texts.
+lower-casing looks across it. So the ids of a text are those of its white-space pieces in order. It also parts letters
+from the punctuation that follows them and lower-cases: a piece of letters and trailing punctuation is cut in two, and
+A-Z are lower-cased before pieces are compared. Pieces with "<", which may hold a special token, stay as they are.
+
+Pieces are found, hashed (64 bits) and looked up in numpy; only pieces that a worker does not remember reach the encoder.
 """
 
 from __future__ import annotations
@@ -10,12 +13,21 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-#: White space of the tokenizer's patterns: the Unicode property White_Space.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
-#: str.split() cuts at these as well.
-_NOT_WHITE = "\x1c\x1d\x1e\x1f"
-#: Pieces remembered in a task, and the longest that is; then memory starts anew.
-PIECES, PIECE_CHARS = 300_000, 200
+import numpy as np
+import pyarrow as pa
+
+from tessera.llm import bytescan
+
+#: White space of the tokenizer's patterns, inside a character class.
+WHITE = r"\p{White_Space}"
+#: Pieces in a generation of the table, pieces added before they are merged into it, and the longest piece in bytes kept.
+ENTRIES, RECENT, KEY_BYTES = 1_000_000, 100_000, 200
+_WHITE = bytescan.table_of([(0x09, 0x0D), (0x20, 0x20)])
+#: ASCII punctuation that may end a piece: no apostrophe, no bracket.
+_TAIL = np.isin(np.arange(256), list(b'.,;:!?#$%&*|)"'))
+_LETTER = bytescan.table_of([(0x41, 0x5A), (0x61, 0x7A)])
+#: Second bytes of U+00C0..U+00FF that are letters.
+_LATIN = bytescan.table_of([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])
 
 
 def default_path() -> str:
@@ -31,29 +43,123 @@ def vocabulary_size(path: str) -> int:
     return 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
 
 
-def pieces(text: str) -> list[str]:
-    """The maximal runs of other characters than white space."""
-    if any(c in text for c in _NOT_WHITE):
-        import re
-
-        return re.findall(f"[^{WHITE}]+", text)
-    return text.split()
+class Memo(dict):
+    """Remembers what ``make`` gives, in two generations: when the young one is full, it becomes the old one."""
 
-
-class PieceMemo(dict):
-    """Piece -> ids as little-endian unsigned 32-bit integers, by an encoder of one piece."""
-
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, make: Callable, entries: int = 300_000) -> None:
         super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= PIECE_CHARS:
-            if len(self) >= PIECES:
+        self.make, self.entries, self.old = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= KEY_BYTES:
+            if len(self) >= self.entries:
+                self.old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
-
-    def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, pieces(text)))
+            self[key] = value
+        return value
+
+
+def pieces(column: pa.Array, hasher: bytescan.SpanHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, hashes, first piece of each text) of a column of texts."""
+    raw, bounds = bytescan.text_buffer(column)
+    starts, ends = bytescan.runs(~_WHITE[raw])
+    buf = bytescan.LOWER[raw]
+    whole = np.zeros(len(starts), bool)
+    if len(at := np.flatnonzero(raw == 0x3C)):
+        whole[np.searchsorted(starts, at, side="right") - 1] = True
+        for a, b in zip(starts[whole].tolist(), ends[whole].tolist()):
+            buf[a:b] = raw[a:b]
+    body = np.maximum.accumulate(np.where(_TAIL[raw], -1, np.arange(len(raw))))  # the last byte that is no tail, so far
+    core = body[ends - 1] + 1
+    last, before = raw[core - 1], raw[np.maximum(core - 2, 0)]
+    cut = (core > starts) & (core < ends) & ~whole & (_LETTER[last] | ((before == 0xC3) & _LATIN[last] & (core - 1 > starts)))
+    more = np.concatenate(([0], np.cumsum(cut)))
+    at = np.arange(len(starts)) + more[:-1]
+    a, b = np.empty(len(starts) + int(more[-1]), np.int64), np.empty(len(starts) + int(more[-1]), np.int64)
+    a[at], b[at] = starts, np.where(cut, core, ends)
+    a[at[cut] + 1], b[at[cut] + 1] = core[cut], ends[cut]
+    first = bytescan.per_text(starts, bounds)
+    return buf, a, b, hasher(buf, a, b), first + more[first]
+
+
+class _Level:
+    """Ids by hash: sorted hashes, and where the ids of each begin in one flat array."""
+
+    def __init__(self) -> None:
+        self.hash, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where(self.hash[at] == hashes, at, -1)
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, flat ids) at some places."""
+        sizes = self.first[places + 1] - self.first[places]
+        return sizes, self.ids[bytescan.ranges(self.first[places], sizes)]
+
+    def add(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Adds hashes that are not in the level."""
+        key = np.concatenate((self.hash, hashes))
+        size = np.concatenate((np.diff(self.first), sizes))
+        begin = np.cumsum(size) - size
+        order = np.argsort(key, kind="stable")
+        self.ids = np.concatenate((self.ids, ids))[bytescan.ranges(begin[order], size[order])]
+        self.hash, self.first = key[order], np.concatenate(([0], np.cumsum(size[order])))
+
+
+class PieceTable:
+    """Ids of texts by way of their distinct pieces, remembered in bounded tables that outlive a task."""
+
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], entries: int = ENTRIES) -> None:
+        self.encode, self.entries = encode, entries
+        self.levels = [_Level(), _Level(), _Level()]  # recent, main, old
+        self.hasher = bytescan.SpanHasher()
+
+    def _remember(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        recent, main, _ = self.levels
+        recent.add(hashes, sizes, ids)
+        if len(recent.hash) > RECENT:
+            if len(main.hash) + len(recent.hash) > self.entries:
+                self.levels[1:] = [_Level(), main]
+            self.levels[1].add(recent.hash, np.diff(recent.first), recent.ids)
+            self.levels[0] = _Level()
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, the first id of each)."""
+        buf, starts, ends, hashes, first = pieces(column, self.hasher)
+        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes, begin = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        left, flat, total = np.arange(len(distinct)), [], 0
+        found_old = None
+        for k, level in enumerate(self.levels):
+            places = level.find(distinct[left])
+            hit = left[places >= 0]
+            size, ids = level.take(places[places >= 0])
+            sizes[hit], begin[hit] = size, np.cumsum(size) - size + total
+            if k == 2 and len(hit):
+                found_old = distinct[hit], size, ids
+            flat.append(ids)
+            total += len(ids)
+            left = left[places < 0]
+        if len(left):
+            a, b = starts[at[left]], ends[at[left]]
+            data = buf.tobytes()
+            new = self.encode([data[i:j].decode() for i, j in zip(a.tolist(), b.tolist())])
+            size = np.array([len(x) for x in new], np.int64)
+            ids = np.concatenate(new) if new else np.zeros(0, np.uint32)
+            sizes[left], begin[left] = size, np.cumsum(size) - size + total
+            flat.append(ids)
+            keep = b - a <= KEY_BYTES
+            self._remember(distinct[left][keep], size[keep], ids[np.repeat(keep, size)])
+        if found_old is not None:
+            fresh = self.levels[0].find(found_old[0]) < 0
+            self._remember(found_old[0][fresh], found_old[1][fresh], found_old[2][np.repeat(fresh, found_old[1])])
+        used = sizes[back]
+        out = np.concatenate(flat)[bytescan.ranges(begin[back], used)]
+        return out, np.concatenate(([0], np.cumsum(used)))[first]

@@ -214,15 +214,13 @@ class PieceStream:
 
     def feed(self, text: str) -> Iterator[int]:
         self.raw += text
-        wide = self.encoder.special_chars
-        k = len(self.raw) - wide
+        k = len(self.raw) - self.encoder.special_chars
         if k <= 0:
             return
-        if self.encoder.special:
-            for m in self.encoder.special.finditer(self.raw, max(0, k - wide), min(len(self.raw), k + wide)):
-                if m.start() < k < m.end():
-                    k = m.start()
-        while k > 0 and not self._safe(k):
+        inside: set[int] = set()
+        for m in self.encoder.special.finditer(self.raw) if self.encoder.special else ():
+            inside.update(range(m.start() + 1, m.end()))
+        while k > 0 and (k in inside or not self._safe(k)):
             k -= 1
         if k > 0:
             head, self.raw = self.raw[:k], self.raw[k:]

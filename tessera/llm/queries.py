@@ -9,6 +9,7 @@ from tessera.llm.resample import op1_importance_resampling
 from tessera.llm.sharding import op4_feistel_shards
 from tessera.llm.simhash import op7_simhash_components
 from tessera.llm.topk import OP10_SQL, op10_uniform_threshold_topk
+from tessera.llm.toxicity import op9_compression_toxicity
 
 QUERIES = {
     "op1_importance_resampling": op1_importance_resampling,
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
     "op7_simhash_components": op7_simhash_components,
     "op8_bit_packed_tokens": op8_bit_packed_tokens,
+    "op9_compression_toxicity": op9_compression_toxicity,
     "op10_uniform_threshold_topk": op10_uniform_threshold_topk,
 }
 

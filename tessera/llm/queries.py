@@ -6,6 +6,7 @@ from tessera.llm.bitpack import op8_bit_packed_tokens
 from tessera.llm.bpe import op3_streaming_bpe
 from tessera.llm.decontaminate import op5_fm_index_decontamination
 from tessera.llm.resample import op1_importance_resampling
+from tessera.llm.secrets import op2_character_network_secrets
 from tessera.llm.sharding import op4_feistel_shards
 from tessera.llm.simhash import op7_simhash_components
 from tessera.llm.topk import OP10_SQL, op10_uniform_threshold_topk
@@ -13,6 +14,7 @@ from tessera.llm.toxicity import op9_compression_toxicity
 
 QUERIES = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_character_network_secrets": op2_character_network_secrets,
     "op3_streaming_bpe": op3_streaming_bpe,
     "op4_feistel_shards": op4_feistel_shards,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tessera.llm.bitpack import op8_bit_packed_tokens
 from tessera.llm.bpe import op3_streaming_bpe
 from tessera.llm.decontaminate import op5_fm_index_decontamination
+from tessera.llm.language import op6_evidence_fusion_language
 from tessera.llm.resample import op1_importance_resampling
 from tessera.llm.secrets import op2_character_network_secrets
 from tessera.llm.sharding import op4_feistel_shards
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_streaming_bpe": op3_streaming_bpe,
     "op4_feistel_shards": op4_feistel_shards,
     "op5_fm_index_decontamination": op5_fm_index_decontamination,
+    "op6_evidence_fusion_language": op6_evidence_fusion_language,
     "op7_simhash_components": op7_simhash_components,
     "op8_bit_packed_tokens": op8_bit_packed_tokens,
     "op9_compression_toxicity": op9_compression_toxicity,

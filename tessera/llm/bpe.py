@@ -303,6 +303,7 @@ def encode_texts(df: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
 
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     new += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
+    keep = [c for c in keep if c not in {f.name for f in new}]  # what is computed here replaces columns of its name
     schema = T.StructType([df.schema[c] for c in keep] + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.llm import bytescan
 from tessera.llm.fmindex import FMIndex
+from tessera.llm.workspace import shielded
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -192,8 +193,8 @@ def report(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int
 
 def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:
     """``df`` with the removal spans cut out of ``text``; all other rows and columns stay as they are."""
-    columns = df.columns
-    found = findings(df, benchmark, columns, window, limit)
+    inner, restored = shielded(df, ["text"])
+    found = findings(inner, benchmark, inner.columns, window, limit)
 
     @F.pandas_udf("string")
     def cut(text, cuts):
@@ -209,7 +210,8 @@ def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int
         return pd.Series([one(t, c.tolist()) for t, c in zip(text, cuts)], dtype=object)
 
     hit = F.size("_cuts") > 0
-    return found.withColumn("text", F.when(hit, cut(F.when(hit, F.col("text")).otherwise(""), "_cuts")).otherwise(F.col("text"))).select(columns)
+    text = F.when(hit, cut(F.when(hit, F.col("text")).otherwise(""), "_cuts")).otherwise(F.col("text"))
+    return restored(found.withColumn("text", text))
 
 
 def op5_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace
+from tessera.llm.workspace import Workspace, shielded
 
 BUCKETS = 10_000
 KINDS = 3
@@ -227,7 +227,8 @@ def sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED, limit: int = F
     _, model, least = resample(docs, labels, seed, limit)
     if least is None:
         return docs.limit(0)
-    return keyed(docs, model, seed, docs.columns, least).select(docs.columns)
+    inner, restored = shielded(docs, ["doc_id", "text"])
+    return restored(keyed(inner, model, seed, inner.columns, least))
 
 
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

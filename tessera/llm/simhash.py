@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace, partitions
+from tessera.llm.workspace import Workspace, partitions, shielded
 
 WORDS, SEED, RADIUS = 4, 42, 4
 SEGMENT_BITS = 2
@@ -39,6 +39,8 @@ SEGMENT_BITS = 2
 CELL = 2048
 #: Hot cells whose list may be broadcast; beyond it they are joined by a shuffle.
 HOT_CELLS = 50_000
+#: Rows to be removed whose ids may be broadcast; beyond it they are joined by a shuffle.
+GONE_BROADCAST = 250_000
 _SPACE = bytescan.table_of([(0x20, 0x20), (0x09, 0x0D)])
 
 
@@ -77,15 +79,15 @@ def fingerprints_of(column: pa.Array, words: int = WORDS, seed: int = SEED) -> n
 
 
 def fingerprints(df: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) for every row of ``df`` (doc_id, text); fp holds the 64 bits as a signed long."""
+    """(doc_id, copy, fp) for every row of ``df`` (doc_id, text): a hash of the text, and the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in bytescan.slices(batch, "text"):
                 fp = fingerprints_of(part.column("text"), words, seed)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("copy"), pa.array(fp.view(np.int64))], names=["doc_id", "copy", "fp"])
 
-    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return df.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, "doc_id long, copy long, fp long")
 
 
 def embedding(fp: np.ndarray) -> np.ndarray:
@@ -230,8 +232,8 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``df`` (doc_id, text)."""
+def linked(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, copy, fp, component_id) for every row of ``df`` (doc_id, text)."""
     work = Workspace(df.sparkSession, "simhash")
     prints = work.table("prints", fingerprints(df, words))
     nodes = work.table("nodes", prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -242,7 +244,35 @@ def near_duplicates(df: DataFrame, words: int = WORDS, radius: int = RADIUS) ->
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = work.table("moved", grouped.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"))
     ids = nodes.join(moved, F.col("fp") == F.col("_fp"), "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(ids, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(ids, F.col("fp") == F.col("_fp")).select("doc_id", "copy", "fp", "component_id")
+
+
+def near_duplicates(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``df`` (doc_id, text)."""
+    return linked(df, words, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``df`` that stay: of each component the row with the least id; rows of one id and text once.
+
+    Rows without an id stay. What goes is told by ids and text hashes; while these are few they are broadcast and no text
+    is shuffled.
+    """
+    work = Workspace(df.sparkSession, "deduplicated")
+    rows = work.table("linked", linked(df, words, radius))
+    gone = work.table("gone", rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct())
+    repeated = work.table("repeated", rows.filter("doc_id = component_id").groupBy("doc_id", "copy").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")))
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))
+
+    def small(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if side.count() <= GONE_BROADCAST else side
+
+    inner, restored = shielded(df, ["doc_id", "text"])
+    kept = inner.join(small(gone), same, "left_anti")
+    if not repeated.isEmpty():
+        once = inner.join(small(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(small(repeated), same, "left_anti").unionByName(once)
+    return restored(kept)
 
 
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:

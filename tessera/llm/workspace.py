@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -42,3 +44,10 @@ class Workspace:
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shielded(df: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns other than ``used`` renamed out of the way, and a function that gives the names back."""
+    inner = {c: c if c in used else f"_x{k}" for k, c in enumerate(df.columns)}
+    names = [F.col(f"`{c}`").alias(x) for c, x in inner.items()]
+    return df.select(names), lambda out: out.select([F.col(x).alias(c) for c, x in inner.items()])

@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from tessera.plans import record_queries
+from tessera.plans.record_queries import flagship
+
+QUERIES = dict(record_queries.QUERIES)
+SQL = dict(record_queries.SQL)
+
+__all__ = ["QUERIES", "SQL", "flagship"]

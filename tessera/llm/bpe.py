@@ -150,7 +150,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.merges = Merges(path)
-        self.words = tokens.Memo(lambda w: tuple(self.merges.word(w.encode())))
+        self.words = tokens.Memo(lambda w: tuple(self.merges.word(w.encode())), 20_000)
         self.table = tokens.PieceTable(lambda pieces: [np.array(list(self.piece(p)), "<u4") for p in pieces])
         names = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None

@@ -115,8 +115,17 @@ def search_shard(columns: list[pa.Array], block: Block) -> tuple[np.ndarray, ...
     return count, np.searchsorted(own, np.arange(texts + 1)), spans, cuts, np.searchsorted(pairs[:, 0], np.arange(texts + 1)), pairs[:, 1]
 
 
-def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int) -> DataFrame:
-    """``keep`` and the findings of a block, joined with those that the rows already carry."""
+def cut_out(text: str, cuts: list[int]) -> str:
+    """A text without some byte ranges of its UTF-8 form."""
+    raw, at, out = text.encode(), 0, []
+    for a, b in zip(cuts[::2], cuts[1::2]):
+        out.append(raw[at:a])
+        at = b
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int, cutting: bool = False) -> DataFrame:
+    """``keep`` and the findings of a block, joined with those that the rows already carry; ``cutting`` edits the texts."""
     schema = T.StructType([df.schema[c] for c in keep] + _FOUND)
     shared = df.sparkSession.sparkContext.broadcast(block)
     carried = "_words" in df.columns
@@ -139,6 +148,9 @@ def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int) ->
                     row_cuts = [union(x, y) for x, y in zip(part.column("_cuts").to_pylist(), row_cuts)]
                     row_items = [sorted({*x, *y}) for x, y in zip(part.column("_items").to_pylist(), row_items)]
                 new = [pa.array(words[at:to], pa.int64()), pa.array(row_spans, pa.list_(pa.int32())), pa.array(row_cuts, pa.list_(pa.int32())), pa.array(row_items, pa.list_(pa.int64()))]
+                if cutting and any(row_cuts):
+                    texts = [cut_out(t, c) if c else t for t, c in zip(part.column("text").to_pylist(), row_cuts)]
+                    part = part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in keep), *new], schema=arrow)
                 at = to
 
@@ -167,7 +179,7 @@ def union(x: list[int], y: list[int]) -> list[int]:
     return out
 
 
-def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:
+def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, limit: int = BLOCK_WINDOWS, cutting: bool = False) -> DataFrame:
     """``keep`` with _words, _spans (hit words), _cuts (hit bytes) and _items of every row of ``df``."""
     found = list(blocks(benchmark, window, limit))
     if not found:
@@ -176,7 +188,7 @@ def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
     df = df.select(wanted)
     for k, block in enumerate(found):
         last = k == len(found) - 1
-        df = searched(df, block, keep if last else wanted, SHARD_BYTES)
+        df = searched(df, block, keep if last else wanted, SHARD_BYTES, cutting and last)
     return df
 
 
@@ -194,24 +206,7 @@ def report(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int
 def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:
     """``df`` with the removal spans cut out of ``text``; all other rows and columns stay as they are."""
     inner, restored = shielded(df, ["text"])
-    found = findings(inner, benchmark, inner.columns, window, limit)
-
-    @F.pandas_udf("string")
-    def cut(text, cuts):
-        def one(t, c):
-            raw, at, out = t.encode(), 0, []
-            for a, b in zip(c[::2], c[1::2]):
-                out.append(raw[at:a])
-                at = b
-            return b"".join([*out, raw[at:]]).decode()
-
-        import pandas as pd
-
-        return pd.Series([one(t, c.tolist()) for t, c in zip(text, cuts)], dtype=object)
-
-    hit = F.size("_cuts") > 0
-    text = F.when(hit, cut(F.when(hit, F.col("text")).otherwise(""), "_cuts")).otherwise(F.col("text"))
-    return restored(found.withColumn("text", text))
+    return restored(findings(inner, benchmark, inner.columns, window, limit, cutting=True))
 
 
 def op5_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,9 +49,13 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter("NOT one").join(least, key).select(F.col("doc_id").alias("rec"), "s1")
 
 
+#: A total order of lines: line numbers repeat within an order.
+_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
+
+
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rec, s1, ord, src, p, tok, full, country): order lines by order and supplier."""
-    first = lambda c: F.min_by(c, "l_linenumber")
+    first = lambda c: F.min_by(c, F.struct(*_LINE_ORDER))
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("rec"), F.col("l_suppkey").alias("s1"))
     return rows.agg(
         F.min("l_linenumber").alias("ord"), first("l_linestatus").alias("src"), F.round(first("l_discount") * 10, 2).alias("p"),
@@ -62,7 +66,7 @@ def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rec, s1): for three of four orders the supplier of the first line."""
     lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 4 <> 0")
-    return lines.groupBy(F.col("l_orderkey").alias("rec")).agg(F.min_by("l_suppkey", "l_linenumber").alias("s1"))
+    return lines.groupBy(F.col("l_orderkey").alias("rec")).agg(F.min_by("l_suppkey", F.struct(*_LINE_ORDER)).alias("s1"))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,13 +172,14 @@ copies AS (
     SELECT r.doc_id AS rec, e.s1 FROM copies r JOIN (SELECT country, text, min(doc_id) AS s1 FROM copies WHERE one GROUP BY ALL) e USING (country, text) WHERE NOT r.one
 )"""
 
-PAIRS_SQL = """
+_ORDER_SQL = "{" + ", ".join(f"'{c}': {c}" for c in _LINE_ORDER) + "}"
+PAIRS_SQL = f"""
 pairs AS (
-    SELECT l_orderkey AS rec, l_suppkey AS s1, min(l_linenumber) AS ord, arg_min(l_linestatus, l_linenumber) AS src, round(arg_min(l_discount, l_linenumber) * 10, 2) AS p,
-           round(arg_min(l_tax, l_linenumber) * 10, 2) AS tok, round(arg_min(l_quantity, l_linenumber) / 50, 2) AS "full", 'c' || (l_suppkey % 3) AS country
+    SELECT l_orderkey AS rec, l_suppkey AS s1, min(l_linenumber) AS ord, arg_min(l_linestatus, {_ORDER_SQL}) AS src, round(arg_min(l_discount, {_ORDER_SQL}) * 10, 2) AS p,
+           round(arg_min(l_tax, {_ORDER_SQL}) * 10, 2) AS tok, round(arg_min(l_quantity, {_ORDER_SQL}) / 50, 2) AS "full", 'c' || (l_suppkey % 3) AS country
     FROM lineitem GROUP BY l_orderkey, l_suppkey
 ), pair_truth AS (
-    SELECT l_orderkey AS rec, arg_min(l_suppkey, l_linenumber) AS s1 FROM lineitem WHERE l_orderkey % 4 <> 0 GROUP BY l_orderkey
+    SELECT l_orderkey AS rec, arg_min(l_suppkey, {_ORDER_SQL}) AS s1 FROM lineitem WHERE l_orderkey % 4 <> 0 GROUP BY l_orderkey
 ), entities AS (SELECT s_suppkey AS s1, 'c' || (s_suppkey % 3) AS country FROM supplier)"""
 
 PARTS_SQL = """

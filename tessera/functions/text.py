@@ -99,9 +99,8 @@ def canonical_number(t: Column) -> Column:
 def with_state_codes(c: Column) -> Column:
     """Names of states become codes, the longest name first; rows without any are left alone."""
     names = sorted(fixed.STATES, key=lambda x: (-len(x), x))
-    out = c
-    for name in names:
-        out = F.regexp_replace(out, rf"\b{name}\b", fixed.STATES[name])
+    table = F.array(*[F.struct(F.lit(rf"\b{name}\b").alias("p"), F.lit(fixed.STATES[name]).alias("code")) for name in names])
+    out = F.aggregate(table, c, lambda s, x: F.regexp_replace(s, x["p"], x["code"]))
     return F.when(c.rlike(r"\b(?:" + "|".join(names) + r")\b"), out).otherwise(c)
 
 

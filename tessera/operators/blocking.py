@@ -142,3 +142,47 @@ def union_views(views: dict[str, DataFrame]) -> DataFrame:
 
 def has_view(name: str) -> Column:
     return F.col("views").bitwiseAND(F.lit(VIEW_BITS[name])) > 0
+
+
+def svd_components(record_weights: DataFrame, dims: int, sample: int = 1000, tokens: int = 20_000):
+    """(tokens, components): right singular vectors of a bounded hash sample of TF-IDF rows, over its commonest tokens.
+
+    An approximation by design; ``token_scores`` gives the exact cosines.
+    """
+    import numpy as np
+
+    ids = record_weights.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = record_weights.join(F.broadcast(ids), "id").select("id", "token", "w")
+    top = rows.groupBy("token").count().orderBy(F.desc("count"), "token").limit(tokens)
+    known = sorted(r[0] for r in top.collect())
+    place = {t: k for k, t in enumerate(known)}
+    index: dict = {}
+    matrix = np.zeros((sample, len(known)), np.float32)
+    for i, t, w in rows.collect():
+        if t in place:
+            matrix[index.setdefault(i, len(index)), place[t]] = w
+    values, vectors = np.linalg.eigh((matrix @ matrix.T).astype(float))
+    order = np.argsort(-values)[:dims]
+    order = order[values[order] > 1e-9]
+    return known, (matrix.T @ vectors[:, order] / np.sqrt(values[order])).astype(np.float32)
+
+
+def projected(record_weights: DataFrame, known: list[str], components) -> DataFrame:
+    """(id, country, vector): unit rows in the space of the components; zero rows where nothing is known."""
+    import numpy as np
+    import pandas as pd
+
+    shared = record_weights.sparkSession.sparkContext.broadcast(({t: k for k, t in enumerate(known)}, components))
+    grouped = record_weights.groupBy("id", "country").agg(F.collect_list("token").alias("t"), F.collect_list("w").alias("w"))
+
+    def run(batches):
+        place, parts = shared.value
+        for batch in batches:
+            out = []
+            for tokens, weights_ in zip(batch["t"], batch["w"]):
+                use = [(place[t], w) for t, w in zip(tokens, weights_) if t in place]
+                v = np.array([w for _, w in use], np.float32) @ parts[[k for k, _ in use]] if use else np.zeros(parts.shape[1], np.float32)
+                out.append((v / (np.linalg.norm(v) or 1)).astype(float).tolist())
+            yield pd.DataFrame({"id": batch["id"], "country": batch["country"], "vector": out})
+
+    return grouped.mapInPandas(run, "id long, country string, vector array<double>")

@@ -50,7 +50,7 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A total order of lines: line numbers repeat within an order.
-_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
+_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag")
 
 
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +64,10 @@ def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(rec, s1): for three of four orders the supplier of the first line."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 4 <> 0")
-    return lines.groupBy(F.col("l_orderkey").alias("rec")).agg(F.min_by("l_suppkey", F.struct(*_LINE_ORDER)).alias("s1"))
+    """(rec, s1): the supplier of an order's first line, unless that line was returned; other orders match nothing."""
+    order = F.struct(*_LINE_ORDER)
+    first = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("rec")).agg(F.min_by("l_suppkey", order).alias("s1"), F.min_by("l_returnflag", order).alias("_flag"))
+    return first.filter("_flag <> 'R'").select("rec", "s1")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +180,7 @@ pairs AS (
            round(arg_min(l_tax, {_ORDER_SQL}) * 10, 2) AS tok, round(arg_min(l_quantity, {_ORDER_SQL}) / 50, 2) AS "full", 'c' || (l_suppkey % 3) AS country
     FROM lineitem GROUP BY l_orderkey, l_suppkey
 ), pair_truth AS (
-    SELECT l_orderkey AS rec, arg_min(l_suppkey, {_ORDER_SQL}) AS s1 FROM lineitem WHERE l_orderkey % 4 <> 0 GROUP BY l_orderkey
+    SELECT l_orderkey AS rec, arg_min(l_suppkey, {_ORDER_SQL}) AS s1 FROM lineitem GROUP BY l_orderkey HAVING arg_min(l_returnflag, {_ORDER_SQL}) <> 'R'
 ), entities AS (SELECT s_suppkey AS s1, 'c' || (s_suppkey % 3) AS country FROM supplier)"""
 
 PARTS_SQL = """

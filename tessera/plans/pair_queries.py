@@ -203,8 +203,11 @@ def q_prune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known are suppliers in credit and orders that are not finished: the rules must find the others."""
     pairs = B.scored_pairs(spark, sf_dir)
-    return evaluate.violations(pairs.filter("p >= 0.5").select("rec", "s1"), groups.pruned(pairs, "p", 2, 0.1), B.entities(spark, sf_dir).filter("s1 > 5").select("s1"), pairs.filter("rec > 40").select("rec").distinct())
+    entities = B.table(spark, sf_dir, "supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("s1"))
+    records = B.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("rec"))
+    return evaluate.violations(pairs.filter("p >= 0.5").select("rec", "s1"), groups.pruned(pairs, "p", 2, 0.1), entities, records)
 
 
 def q_band_density(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +362,7 @@ SQL = {
         SELECT CAST(sum(n) AS BIGINT) AS pairs, round(sum(tp) / sum(n_true), 6) AS recall, round(avg({_F05}), 6) AS oracle_f05, round(avg(n), 6) AS mean_candidates, round(quantile_cont(n, 0.99), 6) AS p99_candidates, round(avg(CASE WHEN n = 0 THEN 1 ELSE 0 END), 6) AS without FROM e""",
     "q_prune_grid": f"""{_P}, r AS (SELECT p.rec, p.s1, p.p, t.rec IS NOT NULL AS hit, row_number() OVER (PARTITION BY p.rec ORDER BY p.p DESC, ord, p.s1) AS k FROM pairs p LEFT JOIN pair_truth t ON t.rec = p.rec AND t.s1 = p.s1)
         SELECT CAST(n AS INTEGER) AS top_n, CAST(f AS DOUBLE) AS min_prob, count(r.rec) AS pairs, round(count(r.rec) FILTER (hit) / (SELECT count(*) FROM pair_truth), 6) AS recall FROM (VALUES (1), (2), (3), (5)) a(n) CROSS JOIN (VALUES (0.05), (0.3)) b(f) LEFT JOIN r ON k <= n AND p >= f GROUP BY n, f""",
-    "q_violations": f"""{_P}, {_PRUNED}, m AS (SELECT rec, s1 FROM pairs WHERE p >= 0.5), e AS (SELECT s1 FROM entities WHERE s1 > 5), r AS (SELECT DISTINCT rec FROM pairs WHERE rec > 40)
+    "q_violations": f"""{_P}, {_PRUNED}, m AS (SELECT rec, s1 FROM pairs WHERE p >= 0.5), e AS (SELECT s_suppkey AS s1 FROM supplier WHERE s_acctbal >= 0), r AS (SELECT o_orderkey AS rec FROM orders WHERE o_orderstatus <> 'F')
         SELECT 'unknown entity' AS rule, count(*) AS n FROM m ANTI JOIN e USING (s1) UNION ALL SELECT 'unknown record', count(*) FROM m ANTI JOIN r USING (rec) UNION ALL SELECT 'entity as record', count(*) FROM m WHERE rec IN (SELECT s1 FROM e)
         UNION ALL SELECT 'repeated pair', count(*) FROM (SELECT rec, s1 FROM m GROUP BY ALL HAVING count(*) > 1) UNION ALL SELECT 'record twice', count(*) FROM (SELECT rec FROM m GROUP BY rec HAVING count(DISTINCT s1) > 1)
         UNION ALL SELECT 'not a candidate', count(*) FROM (SELECT DISTINCT rec, s1 FROM m) ANTI JOIN pruned USING (rec, s1)""",

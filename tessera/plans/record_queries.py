@@ -89,8 +89,15 @@ def _weights(spark: SparkSession, sf_dir: str, field: str) -> tuple[DataFrame, D
     return w.join(one, ["id", "country"], "left_anti"), w.join(one, ["id", "country"], "left_semi")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, country, src, _w): the words of whole texts."""
+    rows = B.raw_records(spark, sf_dir).select("id", "country", "src")
+    words = text.tokens(F.coalesce("text", F.lit("")))
+    return rows.join(B.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), words.alias("_w")), "id")
+
+
 def q_token_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.records(spark, sf_dir).select("id", "country", F.filter(F.split("name_n", " "), lambda t: t != "").alias("_w"))
+    rows = _texts(spark, sf_dir)
     return blocking.idf(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)).withColumn("idf", _r("idf"))
 
 
@@ -141,8 +148,11 @@ def q_gram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word TF-IDF within the country, the best entity of each record under a threshold and a margin."""
-    pairs = _scores(spark, sf_dir, "name_n").withColumnsRenamed({"score": "p"}).withColumn("ord", F.col("s1"))
+    """Word TF-IDF of whole texts within the country, the best entity of each record under a threshold and a margin."""
+    rows = _texts(spark, sf_dir)
+    w = blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)).join(rows.select("id", "src"), "id")
+    pairs = blocking.token_scores(w.filter("src > 1"), blocking.index_of(w.filter("src = 1"), MOST_ENTITIES))
+    pairs = pairs.withColumnsRenamed({"score": "p"}).withColumn("ord", F.col("s1"))
     return decide.select(pairs, THRESHOLD, MARGIN).select("rec", "s1", "p", "second")
 
 
@@ -296,10 +306,11 @@ def q_difference_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 _R = f"WITH {B.RECORDS_SQL}"
 
 
-def _sql_weights(field: str, tag: str) -> str:
+def _sql_weights(field: str, tag: str, source: str = "records", words: str = "") -> str:
+    words = words or f"string_split({field}, ' ')"
     return f"""
-size_{tag} AS (SELECT country, count(*) AS n FROM records GROUP BY country),
-post_{tag} AS (SELECT DISTINCT id, country, src, token FROM (SELECT id, country, src, unnest(string_split({field}, ' ')) AS token FROM records) WHERE token <> ''),
+size_{tag} AS (SELECT country, count(*) AS n FROM {source} GROUP BY country),
+post_{tag} AS (SELECT DISTINCT id, country, src, token FROM (SELECT id, country, src, unnest({words}) AS token FROM {source}) WHERE token <> ''),
 idf_{tag} AS (SELECT country, token, count(*) AS df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM post_{tag} JOIN size_{tag} USING (country) GROUP BY country, token),
 w_{tag} AS (SELECT id, country, src, token, idf / sqrt(sum(idf * idf) OVER (PARTITION BY country, id)) AS w FROM post_{tag} JOIN idf_{tag} USING (country, token)),
 index_{tag} AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY country, token) AS c FROM w_{tag} WHERE src = 1) WHERE c <= {MOST_ENTITIES}),
@@ -310,6 +321,8 @@ def _sql_top(table: str, k: int, least: float) -> str:
     return f"SELECT * FROM (SELECT country, rec, s1, score, CAST(row_number() OVER (PARTITION BY rec ORDER BY score DESC, s1) AS INTEGER) AS rank FROM {table} WHERE score >= {least}) WHERE rank <= {k}"
 
 
+_TEXTS = f"{B.RAW_SQL}, texts AS (SELECT r.id, r.country, r.src, {B.sql_tokens("coalesce(text, '')")} AS words FROM raw_records r JOIN documents d ON d.doc_id = r.id)"
+_T = _sql_weights("", "t", "texts", "words")
 _N, _A = _sql_weights("name_n", "n"), _sql_weights("addr_n", "a")
 _FULL = "score_f AS (SELECT country, rec, s1, round(sum(score), 6) AS score FROM (SELECT * FROM score_n UNION ALL SELECT * FROM score_a) GROUP BY ALL)"
 _PAIRS = f"{B.RECORDS_SQL}, {_N}, {_A}, {_FULL}, top_f AS ({_sql_top('score_f', 10, 0.02)}), two AS (SELECT rec, s1 FROM top_f WHERE rank <= 2), name_pairs AS (SELECT t.rec, t.s1, a.country, a.name_n AS s1_name, b.name_n AS rec_name FROM two t JOIN records a ON a.id = t.s1 JOIN records b ON b.id = t.rec)"
@@ -375,7 +388,7 @@ SQL = {
         SELECT token, target, n, total FROM r WHERE k = 1 AND n >= 0.5 * total""",
     "q_key_join": f"WITH {B.PARTS_SQL}, e AS (SELECT *, count(*) OVER (PARTITION BY country, name_core) AS c FROM parts WHERE id % 5 = 0) SELECT r.id AS rec, e.id AS s1 FROM parts r JOIN e USING (country, name_core) WHERE r.id % 5 <> 0 AND e.c <= 20",
     "q_house_join": f"WITH {B.PARTS_SQL}, e AS (SELECT *, count(*) OVER (PARTITION BY country, house, first) AS c FROM parts WHERE id % 5 = 0) SELECT r.id AS rec, e.id AS s1 FROM parts r JOIN e USING (country, house, first) WHERE r.id % 5 <> 0 AND e.c <= 50",
-    "q_token_idf": f"{_R}, {_N} SELECT country, token, df, round(idf, 6) AS idf FROM idf_n",
+    "q_token_idf": f"WITH {_TEXTS}, {_T} SELECT country, token, df, round(idf, 6) AS idf FROM idf_t",
     "q_token_topk_name": f"{_R}, {_N} SELECT rec, s1, score, rank FROM ({_sql_top('score_n', 5, 0.02)})",
     "q_token_topk_addr": f"{_R}, {_A} SELECT rec, s1, score, rank FROM ({_sql_top('score_a', 5, 0.02)})",
     "q_token_topk_full": f"WITH {_PAIRS} SELECT rec, s1, score, rank FROM top_f",
@@ -383,7 +396,7 @@ SQL = {
         SELECT c.rec, c.s1, coalesce(cos, 0.0) AS cos FROM c LEFT JOIN s USING (rec, s1)""",
     "q_gram_idf": f"WITH {_GRAMS} SELECT country, token, df, round(idf, 6) AS idf FROM gram_idf",
     "q_gram_topk": f"WITH {_GRAMS} SELECT rec, s1, score, rank FROM ({_sql_top('gram_score', 3, 0.3)})",
-    "q_flagship": f"""{_R}, {_N}, r AS (SELECT rec, s1, score AS p, lead(score, 1, 0.0) OVER w AS second, row_number() OVER w AS k FROM score_n WINDOW w AS (PARTITION BY rec ORDER BY score DESC, s1))
+    "q_flagship": f"""WITH {_TEXTS}, {_T}, r AS (SELECT rec, s1, score AS p, lead(score, 1, 0.0) OVER w AS second, row_number() OVER w AS k FROM score_t WINDOW w AS (PARTITION BY rec ORDER BY score DESC, s1))
         SELECT rec, s1, p, second FROM r WHERE k = 1 AND p >= {THRESHOLD} AND p - second >= {MARGIN}""",
     "q_dense_topk": """WITH s AS (SELECT q.vec_id AS rec, i.vec_id AS s1, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 6) AS score FROM embeddings q JOIN embeddings i ON q.label = i.label AND q.vec_id % 2 = 1 AND i.vec_id % 2 = 0)
         SELECT * FROM (SELECT rec, s1, score, CAST(row_number() OVER (PARTITION BY rec ORDER BY score DESC, s1) AS INTEGER) AS rank FROM s) WHERE rank <= 5""",

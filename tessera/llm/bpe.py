@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bytescan, tokens
+from tessera.llm.workspace import bounded_batches
 
 #: Symbols taken in before a long word is encoded again, beyond the lookahead.
 CHUNK = 1024
@@ -301,6 +302,7 @@ def encode_texts(df: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
     """``keep`` with n_tokens, ids_sha256 and decoded_sha256 (and the ids) of every row of ``df``."""
     from pyspark.sql import types as T
 
+    bounded_batches(df.sparkSession)
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     new += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
     keep = [c for c in keep if c not in {f.name for f in new}]  # what is computed here replaces columns of its name

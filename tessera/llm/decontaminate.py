@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.llm import bytescan
 from tessera.llm.fmindex import FMIndex
-from tessera.llm.workspace import shielded
+from tessera.llm.workspace import bounded_batches, shielded
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -181,6 +181,7 @@ def union(x: list[int], y: list[int]) -> list[int]:
 
 def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, limit: int = BLOCK_WINDOWS, cutting: bool = False) -> DataFrame:
     """``keep`` with _words, _spans (hit words), _cuts (hit bytes) and _items of every row of ``df``."""
+    bounded_batches(df.sparkSession)
     found = list(blocks(benchmark, window, limit))
     if not found:
         found = [Block({(0,): set()})]  # no word has hash 0 and this length: counts words only
@@ -211,3 +212,18 @@ def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int
 
 def op5_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP5_SQL = f"""
+WITH docs AS (SELECT doc_id, {_SQL_WORDS} AS ws FROM documents),
+items AS (SELECT item_id, {_SQL_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+item_at AS (SELECT item_id, ws, least(len(ws), {WINDOW}) AS n, unnest(range(1, greatest(len(ws) - {WINDOW - 1}, 1) + 1)) AS k FROM items WHERE len(ws) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(ws[k:k + n - 1], ' ') AS win FROM item_at),
+doc_at AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM docs CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n),
+hits AS (SELECT d.doc_id, d.k, d.n, w.item_id FROM (SELECT doc_id, k, n, array_to_string(ws[k:k + n - 1], ' ') AS win FROM doc_at) d JOIN windows w USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace
+from tessera.llm.workspace import Workspace, bounded_batches
 
 BUCKETS = 1 << 15
 BURST = 8.0
@@ -152,6 +152,7 @@ def _sums(rows: DataFrame, keys: list[str], name: str, n: int) -> DataFrame:
 def languages_of(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """(page_id, host, declared, language, probability) of every row of ``pages`` (page_id, url, html)."""
     spark = pages.sparkSession
+    bounded_batches(spark)
     languages, logs = language_models(docs)
     n = len(languages)
     host = host_of(F.col("url"))

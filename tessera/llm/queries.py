@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.bitpack import op8_bit_packed_tokens
 from tessera.llm.bpe import op3_streaming_bpe
-from tessera.llm.decontaminate import op5_fm_index_decontamination
+from tessera.llm.decontaminate import OP5_SQL, op5_fm_index_decontamination
 from tessera.llm.language import op6_evidence_fusion_language
 from tessera.llm.resample import op1_importance_resampling
 from tessera.llm.secrets import op2_character_network_secrets
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_uniform_threshold_topk": op10_uniform_threshold_topk,
 }
 
-SQL: dict[str, str] = {"op10_uniform_threshold_topk": OP10_SQL}
+SQL: dict[str, str] = {"op5_fm_index_decontamination": OP5_SQL, "op10_uniform_threshold_topk": OP10_SQL}

@@ -72,7 +72,7 @@ def fingerprints_of(column: pa.Array, words: int = WORDS, seed: int = SEED) -> n
     hashes = np.fromiter((digest(view[a:b], seed) for a, b in zip(left, right)), np.uint64, total)
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     some = np.flatnonzero(shingles)
-    ones = np.add.reduceat(bits, begin[some], axis=0, dtype=np.int64)
+    ones = np.add.reduceat(bits, begin[some], axis=0, dtype=np.int32)
     over = (2 * ones > shingles[some][:, None]).astype(np.uint8)
     out[some] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return out

@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan, tokens
+from tessera.llm.workspace import bounded_batches
 
-TOXIC_ROWS, ORDINARY_ROWS = 2_000, 6_000
+TOXIC_ROWS, ORDINARY_ROWS = 1_500, 3_500
 #: Size of the dictionaries in bytes.
 TOXIC_BYTES, ORDINARY_BYTES = 4_096, 65_536
 #: A toxic word's least number of training documents and standard deviations above chance.
@@ -190,6 +191,7 @@ def held_out() -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, ordinary_rows: int) -> list[tuple[int, list[bytes], int, int]]:
     """(id, distinct words, words, label) of a bounded hash sample of labelled rows that are not held out, copies once."""
+    bounded_batches(docs.sparkSession)
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg((F.max("toxic") >= 1).cast("int").alias("toxic"))
     chosen: dict[int, int] = {}
     for label, limit in ((1, toxic_rows), (0, ordinary_rows)):
@@ -210,20 +212,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, ordinary_
                 for a, b in zip(w.first, w.first[1:]):
                     h = w.hash[a:b]
                     _, at = np.unique(h, return_index=True)
-                    words.append([w.bytes(a + k) for k in np.sort(at)])
+                    words.append(b" ".join(w.bytes(a + k) for k in np.sort(at)))
                     grams = h.copy()
                     for k in range(1, min(4, len(h))):
                         grams = bytescan.mix(grams[:-1] * np.uint64(3) + h[k:])
                     marks.append([int((bytescan.mix(grams ^ np.uint64(s + 1)) >> np.uint64(1)).min(initial=(1 << 63) - 1)) for s in range(4)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(words, pa.list_(pa.binary())), pa.array(np.diff(w.first)), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "words", "total", "marks"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(words, pa.binary()), pa.array(np.diff(w.first)), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "words", "total", "marks"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words array<binary>, total long, marks array<long>")
+    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary, total long, marks array<long>")
     seen: set[tuple[int, int]] = set()
+    once: dict[bytes, bytes] = {}  # equal words share one object
     out = []
-    for i, words, total, marks in sorted(tuple(r) for r in found.collect()):  # as many rows as were chosen
+    for i, words, total, marks in found.orderBy("doc_id").toLocalIterator():  # as many rows as were chosen
         own = set(enumerate(marks))
         if words and not own & seen:
-            out.append((i, [bytes(w) for w in words], total, chosen[i]))
+            out.append((i, [once.setdefault(w, w) for w in bytes(words).split(b" ")], total, chosen[i]))
         seen |= own
     return out
 

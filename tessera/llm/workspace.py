@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+#: Bytes of an Arrow batch sent to a Python worker: texts differ in length, so rows alone bound no memory.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Makes the session send small batches to Python workers from now on."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 class Workspace:
@@ -22,6 +29,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        bounded_batches(spark)
         root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
         if not root:
             root = f"file://{tempfile.mkdtemp(prefix='tessera-')}"

@@ -39,10 +39,10 @@ def is_ascii(c: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def other_scripts(texts: pd.Series) -> pd.Series:
-    """Decomposition without marks; letters of other scripts are spelled from the last word of their Unicode names."""
+    """Decomposition without marks; letters and vowel signs of other scripts are spelled from the last word of their Unicode names."""
 
     def letter(c: str) -> str:
-        if c.isascii() or not c.isalpha():
+        if c.isascii() or unicodedata.category(c)[0] not in "LM":
             return c
         return unicodedata.name(c, c).rpartition(" ")[2].lower()
 

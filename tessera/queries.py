@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.plans import record_queries
+from tessera.plans import pair_queries, record_queries
 from tessera.plans.record_queries import flagship
 
-QUERIES = dict(record_queries.QUERIES)
-SQL = dict(record_queries.SQL)
+QUERIES = record_queries.QUERIES | pair_queries.QUERIES
+SQL = record_queries.SQL | pair_queries.SQL
 
 __all__ = ["QUERIES", "SQL", "flagship"]

@@ -9,11 +9,19 @@ from tessera.functions import fixed, similarity, text
 from tessera.operators import blocking, decide, evaluate, groups, lookalike, translit
 from tessera.plans import bindings as B
 from tessera.sources import tables
+from tessera.sources.shared import Once
 
 MOST_ENTITIES = 50
 THRESHOLD, MARGIN = 0.6, 0.1
 
 
+_once = Once()
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(("records", sf_dir), lambda: B.records(spark, sf_dir))
+
+
 def _r(c, n: int = 6):
     return F.round(c, n)
 
@@ -27,11 +35,11 @@ def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_norm_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.records(spark, sf_dir).select("id", "name_n", "name_core", "name_ns", "is_domain", "name_non_latin", "legal", "first")
+    return _records(spark, sf_dir).select("id", "name_n", "name_core", "name_ns", "is_domain", "name_non_latin", "legal", "first")
 
 
 def q_norm_addr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.records(spark, sf_dir).select("id", "addr_n", "addr_nums", "house", "postal", "addr_empty", "state")
+    return _records(spark, sf_dir).select("id", "addr_n", "addr_nums", "house", "postal", "addr_empty", "state")
 
 
 def q_website_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +48,7 @@ def q_website_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.records(spark, sf_dir).select(
+    return _records(spark, sf_dir).select(
         "id", F.length("name_n").alias("name_len"), F.length("addr_n").alias("addr_len"), text.word_count(F.col("name_n")).alias("name_ntok"), text.address_word_count(F.col("addr_n")).alias("addr_ntok")
     )
 
@@ -83,8 +91,8 @@ def q_house_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weights(spark: SparkSession, sf_dir: str, field: str) -> tuple[DataFrame, DataFrame]:
     """(weights of records, weights of entities) of a field's distinct tokens."""
-    rows = B.records(spark, sf_dir).select("id", "country", "src", F.filter(F.split(field, " "), lambda t: t != "").alias("_w"))
-    w = blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows))
+    rows = _records(spark, sf_dir).select("id", "country", "src", F.filter(F.split(field, " "), lambda t: t != "").alias("_w"))
+    w = _once(("weights", sf_dir, field), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)))
     one = rows.filter("src = 1").select("id", "country")
     return w.join(one, ["id", "country"], "left_anti"), w.join(one, ["id", "country"], "left_semi")
 
@@ -103,7 +111,7 @@ def q_token_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scores(spark: SparkSession, sf_dir: str, field: str, most: int = MOST_ENTITIES) -> DataFrame:
     recs, ones = _weights(spark, sf_dir, field)
-    return blocking.token_scores(recs, blocking.index_of(ones, most))
+    return _once(("scores", sf_dir, field, most), lambda: blocking.token_scores(recs, blocking.index_of(ones, most)))
 
 
 def q_token_topk_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +139,7 @@ def q_token_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gram_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.records(spark, sf_dir).select("id", "country", "src", "name_ns", "name_core")
+    return _records(spark, sf_dir).select("id", "country", "src", "name_ns", "name_core")
 
 
 def q_gram_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +182,7 @@ def q_pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.records(spark, sf_dir)
+    rows = _records(spark, sf_dir)
     s1, recs = B.sides(rows)
     return blocking.union_views({
         "tname": q_token_topk_name(spark, sf_dir), "taddr": q_token_topk_addr(spark, sf_dir), "tfull": q_token_topk_full(spark, sf_dir),
@@ -203,32 +211,32 @@ def q_block_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_name_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     return groups.name_frequency(s1, recs)
 
 
 def q_common_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups.without_common_tokens(B.records(spark, sf_dir), "name_n", 0.01)
+    return groups.without_common_tokens(_records(spark, sf_dir), "name_n", 0.01)
 
 
 def q_name_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.records(spark, sf_dir).select("id", F.array_join(text.name_words(F.col("name_n")), " ").alias("words"))
+    return _records(spark, sf_dir).select("id", F.array_join(text.name_words(F.col("name_n")), " ").alias("words"))
 
 
 def q_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     out = lookalike.token_stats(s1, recs)
     return out.select("country", "token", "df1", "df23", _r("lratio").alias("lratio"), _r("lshare").alias("lshare"), "vocab_min", lookalike.word_class().alias("class"))
 
 
 def q_filler_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     sizes = s1.groupBy("country").agg(F.count("*").alias("n1")).join(recs.groupBy("country").agg(F.count("*").alias("n23")), "country")
     return lookalike.filler_ratios(lookalike.token_stats(s1, recs).drop("n1"), sizes, 3, 25)
 
 
 def q_token_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     stats = lookalike.token_stats(s1, recs).select("country", "token", lookalike.word_class().alias("class"))
     words = recs.select("country", "src", F.explode(text.name_words(F.col("name_n"))).alias("token")).join(stats, ["country", "token"], "left")
     kind = F.coalesce("class", F.lit("rare"))
@@ -236,14 +244,14 @@ def q_token_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_noise_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.records(spark, sf_dir)
+    rows = _records(spark, sf_dir)
     flags = {"domain": F.col("is_domain"), "non_latin": F.col("name_non_latin"), "no_house": F.col("house") == "", "no_address": F.col("addr_empty")}
     out = evaluate.rates(rows, ["country", "src"], flags)
     return out.select("country", "src", "n", *[_r(c).alias(c) for c in flags])
 
 
 def q_distinctiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = evaluate.distinctiveness(B.records(spark, sf_dir), ["country"], "first")
+    out = evaluate.distinctiveness(_records(spark, sf_dir), ["country"], "first")
     return out.select("country", *[_r(c).alias(c) for c in out.columns[1:]])
 
 
@@ -259,10 +267,11 @@ def q_source_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.records(spark, sf_dir)
+    rows = _records(spark, sf_dir)
     pairs = q_token_topk_full(spark, sf_dir).filter("rank <= 2").select("rec", "s1")
     a = rows.select(F.col("id").alias("s1"), "country", F.col("name_n").alias("s1_name"), F.col("addr_n").alias("s1_addr"))
-    return pairs.join(a, "s1").join(rows.select(F.col("id").alias("rec"), F.col("name_n").alias("rec_name"), F.col("addr_n").alias("rec_addr")), "rec")
+    b = rows.select(F.col("id").alias("rec"), F.col("name_n").alias("rec_name"), F.col("addr_n").alias("rec_addr"))
+    return _once(("name_pairs", sf_dir), lambda: pairs.join(a, "s1").join(b, "rec"))
 
 
 def q_jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +285,7 @@ def q_pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pair_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.records(spark, sf_dir).select("id", "house", "state", "postal", "legal", "first", "name_n", "addr_n", "is_domain", "name_non_latin", "addr_empty", "src")
+    rows = _records(spark, sf_dir).select("id", "house", "state", "postal", "legal", "first", "name_n", "addr_n", "is_domain", "name_non_latin", "addr_empty", "src")
     pairs = q_token_topk_full(spark, sf_dir).filter("rank <= 2").select("rec", "s1")
     a = rows.select(F.col("id").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in rows.columns[1:]])
     both = pairs.join(a, "s1").join(rows.withColumnRenamed("id", "rec"), "rec")
@@ -287,13 +296,13 @@ def q_pair_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lookalike(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     out = lookalike.pair_features(_name_pairs(spark, sf_dir), lookalike.token_stats(s1, recs))
     return out.select("rec", "s1", *[_r(c).alias(c) for c in lookalike.COLUMNS])
 
 
 def q_postfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, recs = B.sides(B.records(spark, sf_dir))
+    s1, recs = B.sides(_records(spark, sf_dir))
     return lookalike.post_filtered(_name_pairs(spark, sf_dir), lookalike.token_stats(s1, recs)).select("rec", "s1")
 
 
@@ -433,4 +442,4 @@ SQL = {
         SELECT country, CASE WHEN lacks AND adds THEN 'SUB' WHEN lacks THEN 'DEL' WHEN adds THEN 'ADD' ELSE 'SAME' END AS kind, count(*) AS n FROM k GROUP BY ALL""",
 }
 
-QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("q_")} | {"q_flagship": flagship}
+QUERIES = {name: _once.query(f) for name, f in [*globals().items(), ("q_flagship", flagship)] if name.startswith("q_")}

@@ -242,6 +242,30 @@ def q_entity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.entity_sample(B.entities(spark, sf_dir), _select(spark, sf_dir).select("s1", "rec"), 10)
 
 
+def q_match_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many entities have how many true matches."""
+    return _n_true(spark, sf_dir).groupBy("n_true").agg(F.count("*").alias("entities"))
+
+
+def q_country_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(same, pairs): whether a customer's nation and that of the supplier of its order's best pair agree."""
+    best = decide.best_per_record(B.scored_pairs(spark, sf_dir)).select("rec", "s1")
+    orders = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rec"), "o_custkey")
+    customers = B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    suppliers = B.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s1"), "s_nationkey")
+    rows = best.join(orders, "rec").join(customers, "o_custkey").join(suppliers, "s1")
+    return rows.groupBy((F.col("c_nationkey") == F.col("s_nationkey")).alias("same")).agg(F.count("*").alias("pairs"))
+
+
+def q_decision_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, records, same): how often one run and the mean of two choose the same entity."""
+    pairs = B.scored_pairs(spark, sf_dir)
+    one = decide.best_per_record(pairs).select("rec", "country", "s1")
+    mean = pairs.withColumn("m", (F.col("p") + F.col("tok")) / 2)
+    two = decide.best_per_record(mean, "m").select("rec", F.col("s1").alias("_other"))
+    return one.join(two, "rec").groupBy("country").agg(F.count("*").alias("records"), F.sum((F.col("s1") == F.col("_other")).cast("int")).alias("same"))
+
+
 # ---- learning
 
 
@@ -371,6 +395,10 @@ SQL = {
         {" UNION ALL ".join(f"SELECT '{n}' AS pattern, count(*) AS n, round(avg(label), 6) AS share FROM l WHERE {c}" for n, c in (("high p", "p >= 0.8"), ("low p", "p <= 0.1"), ("tok over full", 'tok > "full"'), ("first line", "ord = 1")))}""",
     "q_binned_means": f'{_P} SELECT CAST(floor(round("full" / 0.1, 9)) AS INTEGER) AS bin, count(*) AS n, round(avg(tok), 6) AS mean FROM pairs GROUP BY 1 HAVING count(*) >= 200',
     "q_missed": f"""{_P}, {_SEL} SELECT t.rec, t.s1, CASE WHEN c.p IS NULL THEN 'not a candidate' WHEN c.p < 0.5 THEN 'low score' ELSE 'lost' END AS reason FROM (SELECT * FROM pair_truth ANTI JOIN sel USING (rec, s1)) t LEFT JOIN (SELECT * FROM pairs WHERE p >= 0.1) c ON c.rec = t.rec AND c.s1 = t.s1""",
+    "q_match_histogram": f"{_P}, {_NTRUE} SELECT n_true, count(*) AS entities FROM n_true GROUP BY n_true",
+    "q_country_agreement": f"{_P}, {_BEST} SELECT c_nationkey = s_nationkey AS same, count(*) AS pairs FROM best JOIN orders ON o_orderkey = rec JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = s1 GROUP BY 1",
+    "q_decision_consistency": f"""{_P}, {_BEST}, m AS (SELECT rec, s1 FROM (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY (p + tok) / 2 DESC, ord, s1) AS k FROM pairs) WHERE k = 1)
+        SELECT b.country, count(*) AS records, CAST(sum(CASE WHEN b.s1 = m.s1 THEN 1 ELSE 0 END) AS BIGINT) AS same FROM best b JOIN m USING (rec) GROUP BY b.country""",
     "q_sweep": f"""{_P}, {_BEST} SELECT country, CAST(t AS DOUBLE) AS threshold, count(*) AS n, CAST(sum(CASE WHEN tok > "full" THEN 1 ELSE 0 END) AS BIGINT) AS n_tok_over_full FROM best CROSS JOIN (VALUES {", ".join(f"({t})" for t in THRESHOLDS)}) a(t) WHERE p >= t GROUP BY ALL""",
 }
 

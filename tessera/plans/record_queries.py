@@ -86,6 +86,13 @@ def q_house_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.house_pairs(s1, rows, 50)
 
 
+def q_address_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec, s1) with the same house number and beginning of the street in one country."""
+    line = F.concat(F.col("house"), F.lit(" "), F.col("name_core"))
+    s1, rows = (t.withColumn("key", text.address_key(line)).filter("key IS NOT NULL") for t in B.parts(spark, sf_dir))
+    return blocking.key_pairs(s1, rows, ["key"], 50)
+
+
 # ---- words and trigrams
 
 
@@ -295,6 +302,12 @@ def q_pair_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("rec", "s1", *equal, inside(F.col("a_first"), F.col("name_n")).alias("s1_first_in_rec"), inside(F.col("first"), F.col("a_name_n")).alias("rec_first_in_s1"), *sizes, "is_domain", "name_non_latin", "addr_empty", "src")
 
 
+def q_same_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, n, share): pairs whose normalised addresses are equal."""
+    rows = _name_pairs(spark, sf_dir)
+    return rows.groupBy("country").agg(F.count("*").alias("n"), _r(F.avg((F.col("s1_addr") == F.col("rec_addr")).cast("int"))).alias("share"))
+
+
 def q_lookalike(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, recs = B.sides(_records(spark, sf_dir))
     out = lookalike.pair_features(_name_pairs(spark, sf_dir), lookalike.token_stats(s1, recs))
@@ -397,6 +410,9 @@ SQL = {
         SELECT token, target, n, total FROM r WHERE k = 1 AND n >= 0.5 * total""",
     "q_key_join": f"WITH {B.PARTS_SQL}, e AS (SELECT *, count(*) OVER (PARTITION BY country, name_core) AS c FROM parts WHERE id % 5 = 0) SELECT r.id AS rec, e.id AS s1 FROM parts r JOIN e USING (country, name_core) WHERE r.id % 5 <> 0 AND e.c <= 20",
     "q_house_join": f"WITH {B.PARTS_SQL}, e AS (SELECT *, count(*) OVER (PARTITION BY country, house, first) AS c FROM parts WHERE id % 5 = 0) SELECT r.id AS rec, e.id AS s1 FROM parts r JOIN e USING (country, house, first) WHERE r.id % 5 <> 0 AND e.c <= 50",
+    "q_address_join": f"""WITH {B.PARTS_SQL}, k AS (SELECT *, house || ' ' || substr(first, 1, 4) AS key FROM parts), e AS (SELECT *, count(*) OVER (PARTITION BY country, key) AS c FROM k WHERE id % 5 = 0)
+        SELECT r.id AS rec, e.id AS s1 FROM k r JOIN e USING (country, key) WHERE r.id % 5 <> 0 AND e.c <= 50""",
+    "q_same_address": f"WITH {_PAIRS} SELECT a.country, count(*) AS n, round(avg(CAST(a.addr_n = b.addr_n AS INT)), 6) AS share FROM two t JOIN records a ON a.id = t.s1 JOIN records b ON b.id = t.rec GROUP BY a.country",
     "q_token_idf": f"WITH {_TEXTS}, {_T} SELECT country, token, df, round(idf, 6) AS idf FROM idf_t",
     "q_token_topk_name": f"{_R}, {_N} SELECT rec, s1, score, rank FROM ({_sql_top('score_n', 5, 0.02)})",
     "q_token_topk_addr": f"{_R}, {_A} SELECT rec, s1, score, rank FROM ({_sql_top('score_a', 5, 0.02)})",

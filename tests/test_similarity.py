@@ -63,4 +63,5 @@ def test_compared():
     filler = lookalike.compared(["pediatric", "clinic"], ["pediatric", "services"], stats, -1.0)
     assert (filler["la_extra_filler"], filler["la_swap_vocab"]) == (1, 0)
     assert set(lookalike.compared([], ["a"], {}, 0.0).values()) == {None}
-    assert lookalike.aligned(["blue", "sky"], ["bluesky"]) == ([], [])
+    assert lookalike.aligned(["blue", "skies"], ["blueskies"]) == ([], [])
+    assert lookalike.aligned(["blue", "sky"], ["bluesky"]) == (["sky"], [])  # only words of four letters count as glued

@@ -165,7 +165,8 @@ def q_gram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word TF-IDF of whole texts within the country, the best entity of each record under a threshold and a margin."""
     rows = _texts(spark, sf_dir)
-    w = blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)).join(rows.select("id", "src"), "id")
+    sides = B.raw_records(spark, sf_dir).select("id", "src")
+    w = _once(("text_weights", sf_dir), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(B.raw_records(spark, sf_dir))).join(sides, "id"))
     pairs = blocking.token_scores(w.filter("src > 1"), blocking.index_of(w.filter("src = 1"), MOST_ENTITIES))
     pairs = pairs.withColumnsRenamed({"score": "p"}).withColumn("ord", F.col("s1"))
     return decide.select(pairs, THRESHOLD, MARGIN).select("rec", "s1", "p", "second")

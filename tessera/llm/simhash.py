@@ -253,13 +253,18 @@ def near_duplicates(df: DataFrame, words: int = WORDS, radius: int = RADIUS) ->
 
 
 def deduplicated(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``df`` that stay: of each component the row with the least id; rows of one id and text once.
+    """The rows of ``df`` that stay: of each component the row with the least id; rows of one id and text once."""
+    return remaining(df, linked(df, words, radius))
+
+
+def remaining(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``df`` that stay, given the component of each as ``rows`` (doc_id, copy, component_id).
 
     Rows without an id stay. What goes is told by ids and text hashes; while these are few they are broadcast and no text
     is shuffled.
     """
     work = Workspace(df.sparkSession, "deduplicated")
-    rows = work.table("linked", linked(df, words, radius))
+    rows = work.table("linked", rows)
     gone = work.table("gone", rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct())
     repeated = work.table("repeated", rows.filter("doc_id = component_id").groupBy("doc_id", "copy").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")))
     same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))

@@ -198,3 +198,17 @@ def test_pipeline(spark, tmp_path):
     assert decontaminate.report(seen[3], spark.read.parquet(f"{small}/benchmark.parquet")).filter("contaminated").isEmpty()
     assert secrets.findings(seen[4], None, ["doc_id"]).filter("n_hex + n_assign + n_access > 0").isEmpty()
     assert pipeline.run(spark, small).count() == counts[5]
+
+
+def test_unlabelled_secrets_leave_recall(spark, docs, monkeypatch):
+    """Secrets that no pattern knows count as others; they must not push thresholds above the findings."""
+    rows = secrets.generated(seed=7, count=1500)
+    unknown = [(t, a, b, 0) for t, a, b, label in rows if label][:150]
+    monkeypatch.setattr(secrets, "labelled", lambda docs, limit: [r for r in rows if not r[3]] + unknown)
+    model = secrets.fit(docs)
+    found = [r for r in secrets.generated() if r[3] and int(hashlib.sha256(r[0][r[1] : r[2]]).hexdigest()[:8], 16) % 10 == 0]
+    buf = np.frombuffer(b"".join(r[0] + b"\n" for r in found), np.uint8)
+    base = np.cumsum([0] + [len(r[0]) + 1 for r in found])[:-1]
+    assert model.accepts(buf, base + [r[1] for r in found], base + [r[2] for r in found]).mean() >= 0.9  # neighbours in the buffer differ from those in fit
+    assert np.isfinite(model.thresholds).all() and np.nanmax(model.false_rates) > 0
+    assert (np.arange(100) >= secrets.recall_threshold(np.arange(100))).mean() >= secrets.RECALL

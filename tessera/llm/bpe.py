@@ -32,12 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import bytescan, tokens
 from tessera.llm.workspace import bounded_batches
 
-#: Symbols taken in before a long word is encoded again, beyond the lookahead.
-CHUNK = 1024
-#: Pieces without white space longer than this go through the stream.
-LONG_PIECE = 2048
+#: Characters of a piece, and symbols of a word beyond the lookahead, that are taken in before what is stable is emitted.
+CHUNK = 256
 _NO_RANK = 1 << 62
-DECODE_IDS = 1 << 16
+#: Ids whose bytes are laid out at a time, and bytes that the decoding machine is fed at a time.
+DECODE_IDS, DECODE_BYTES = 1 << 14, 1 << 16
 
 
 def byte_symbols() -> list[str]:
@@ -66,32 +65,37 @@ class Merges:
         symbols = byte_symbols()
         self.inner = [vocabulary[c] for c in symbols]
         self.last = [vocabulary[c + self.suffix] for c in symbols]
-        self.lookahead = self._lookahead({*self.inner, *self.last})
+        self.ahead = self._lookaheads({*self.inner, *self.last})
+        #: Symbols after a token that can change it at most, whatever the token.
+        self.lookahead = max(self.ahead.values(), default=0)
 
-    def _lookahead(self, single: set[int]) -> int:
+    def _lookaheads(self, single: set[int]) -> dict[int, int]:
+        """For each token the symbols after its end that can still change it."""
         length = dict.fromkeys(single, 1)
         formed: dict[int, tuple[int, int]] = {}  # token -> (rank that forms it, right part)
         ranks: dict[int, list[int]] = {}  # token -> ranks of the merges that it begins, ascending
         reach: dict[int, list[int]] = {}  # token -> the longest chain among those merges up to each
-        most = 0
+
+        def chain(token: int, limit: int) -> int:
+            """The longest chain among merges of rank below ``limit`` that begin with the token or on its right spine."""
+            longest = 0
+            while True:
+                if k := bisect_left(ranks.get(token, []), limit):
+                    longest = max(longest, reach[token][k - 1])
+                if token not in formed:
+                    return longest
+                below, token = formed[token]
+                limit = min(limit, below)
+
         for (a, b), (rank, new) in self.merged.items():
             if new not in formed:
                 formed[new] = rank, b
                 length[new] = length[a] + length[b]
-            chain, token, limit = 0, b, rank
-            while True:  # down the right spine of b
-                k = bisect_left(ranks.get(token, []), limit)
-                if k:
-                    chain = max(chain, reach[token][k - 1])
-                if token not in formed:
-                    break
-                limit, token = formed[token]
-            own = length[b] + chain
+            own = length[b] + chain(b, rank)
             ranks.setdefault(a, []).append(rank)
             best = reach.setdefault(a, [])
             best.append(max(own, best[-1]) if best else own)
-            most = max(most, own)
-        return most
+        return {token: chain(token, _NO_RANK) for token in length}
 
     def apply(self, ids: list[int]) -> list[int]:
         """Merges until no pair of the list is left, least rank first, left to right."""
@@ -123,15 +127,13 @@ class WordStream:
 
     def feed(self, raw: bytes) -> Iterator[int]:
         self.held += raw
-        ahead = self.merges.lookahead
-        while len(self.held) > ahead + CHUNK:
-            part = self.held[: ahead + CHUNK]
-            if len(self.held) == len(part):
-                part = part[:-1]  # the last symbol's form is not known yet
+        most, ahead, inner = self.merges.lookahead + CHUNK, self.merges.ahead, self.merges.inner
+        while len(self.held) > most:
+            known = self.held[:most]  # one more is held: the last symbol's form is not known yet
             at, emitted = 0, 0
-            for token in self.merges.apply([self.merges.inner[b] for b in part]):
+            for token in self.merges.apply([inner[b] for b in known]):
                 at += len(self.merges.token[token])  # a symbol is one character, and no token here has the suffix
-                if at + ahead > len(part):
+                if at + ahead[token] > len(known):
                     break
                 yield token
                 emitted = at
@@ -151,7 +153,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.merges = Merges(path)
-        self.words = tokens.Memo(lambda w: tuple(self.merges.word(w.encode())), 20_000)
+        self.words = tokens.Memo(self._word, 20_000)
         self.table = tokens.PieceTable(lambda pieces: [np.array(list(self.piece(p)), "<u4") for p in pieces])
         names = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None
@@ -162,28 +164,44 @@ class Encoder:
         """NFC, then each character's lower case by itself (no rule for a final sigma)."""
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def _plain(self, text: str) -> Iterator[int]:
-        for m in self._WORD.finditer(self.normal(text)):
-            yield from self.words[m.group()]
+    def _word(self, word: str) -> tuple[int, ...]:
+        stream = WordStream(self.merges)
+        return (*stream.feed(word.encode()), *stream.close())
 
     def piece(self, piece: str) -> Iterator[int]:
         """Ids of a text without white space."""
-        if len(piece) > LONG_PIECE:
-            stream = PieceStream(self)
-            for k in range(0, len(piece), CHUNK):
-                yield from stream.feed(piece[k : k + CHUNK])
-            yield from stream.close()
+        stream = PieceStream(self)
+        for k in range(0, len(piece), CHUNK):
+            yield from stream.feed(piece[k : k + CHUNK])
+        yield from stream.close()
+
+    def stretches(self, raw: memoryview) -> Iterator[np.ndarray]:
+        """Ids of one text of any length, stretch by stretch."""
+        open_piece: PieceStream | None = None
+        for part, ends in tokens.segments(raw):
+            if open_piece is None and ends:
+                yield self.table(pa.array([part], pa.binary()))[0]
+                continue
+            if open_piece is None:
+                open_piece, characters = PieceStream(self), codecs.getincrementaldecoder("utf-8")()
+            piece, rest = (part, b"") if not ends else tokens.first_piece(part)
+            text = characters.decode(piece, ends)
+            for k in range(0, len(text), CHUNK):
+                yield np.fromiter(open_piece.feed(text[k : k + CHUNK]), "<u4")
+            if ends:
+                yield np.fromiter(open_piece.close(), "<u4")
+                open_piece = None
+                if rest:
+                    yield self.table(pa.array([rest], pa.binary()))[0]
+
+    def texts(self, column: pa.Array) -> Iterator[Iterator[np.ndarray]]:
+        """Of each text its ids, in one array or more."""
+        if len(column) == 1 and column.is_valid()[0].as_py() and column.nbytes > bytescan.SLICE_BYTES:
+            yield self.stretches(memoryview(column.cast(pa.binary())[0].as_buffer()))
             return
-        at = 0
-        for m in self.special.finditer(piece) if self.special and "<" in piece else ():
-            yield from self._plain(piece[at : m.start()])
-            yield self.merges.special[m.group()]
-            at = m.end()
-        yield from self._plain(piece[at:] if at else piece)
-
-    def texts(self, column: pa.Array) -> list[np.ndarray]:
         ids, first = self.table(column)
-        return [ids[a:b] for a, b in zip(first, first[1:])]
+        for a, b in zip(first, first[1:]):
+            yield iter((ids[a:b],))
 
 
 @lru_cache(maxsize=1)
@@ -216,7 +234,7 @@ class PieceStream:
     def feed(self, text: str) -> Iterator[int]:
         self.raw += text
         k = len(self.raw) - self.encoder.special_chars
-        if k <= 0:
+        if k < CHUNK:
             return
         inside: set[int] = set()
         for m in self.encoder.special.finditer(self.raw) if self.encoder.special else ():
@@ -270,31 +288,37 @@ class TextMachine:
     """
 
     def __init__(self, merges: Merges, library: bool = True) -> None:
-        self.between = b" " if library else b""
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
-        self.begun = False
+        self.skip = self.between = int(library)  # bytes before the first token that are not part of the text
         if library:
-            self.table = {i: t.encode() for i, t in merges.token.items()}
+            table = {i: b" " + t.encode() for i, t in merges.token.items()}
         else:
             byte = {c: b for b, c in enumerate(byte_symbols())}
-            self.table = {}
+            table = {}
             for i, t in merges.token.items():
                 end = bool(merges.suffix) and t.endswith(merges.suffix)
                 body = t[: -len(merges.suffix)] if end else t
                 raw = t.encode() if t in merges.special else bytes(byte[c] for c in body)
-                self.table[i] = raw + b" " * end
-
-    def feed(self, ids: Iterable[int]) -> str:
-        raw = self.between.join(map(self.table.__getitem__, ids))
-        if self.begun and raw:
-            raw = self.between + raw
-        self.begun = self.begun or bool(raw)
-        return self.machine.decode(raw)
+                table[i] = raw + b" " * end
+        parts = [table.get(i, b"") for i in range(max(table) + 1)]
+        self.size = np.array([len(x) for x in parts], np.int64)
+        self.first, self.flat = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(parts), np.uint8)
+
+    def feed(self, ids: Iterable[int] | np.ndarray) -> Iterator[str]:
+        """Text that is complete after some more ids, bit by bit."""
+        ids = np.asarray(ids if isinstance(ids, np.ndarray) else list(ids), np.int64)
+        for k in range(0, len(ids), DECODE_IDS):
+            own = ids[k : k + DECODE_IDS]
+            raw = self.flat[bytescan.ranges(self.first[own], self.size[own])].tobytes()
+            if self.skip and raw:
+                raw, self.skip = raw[self.skip :], 0
+            for at in range(0, len(raw), DECODE_BYTES):
+                yield self.machine.decode(raw[at : at + DECODE_BYTES])
 
     def close(self) -> str:
         out = self.machine.decode(b"", True)
         self.machine.reset()
-        self.begun = False
+        self.skip = self.between
         return out
 
 
@@ -315,18 +339,24 @@ def encode_texts(df: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
         machine = TextMachine(encoder.merges)
         for batch in batches:
             for part in bytescan.slices(batch, "text"):
-                all_ids = encoder.texts(part.column("text"))
-                decoded = []
-                for ids in all_ids:
-                    digest = hashlib.sha256()
-                    for k in range(0, len(ids), DECODE_IDS):
-                        digest.update(machine.feed(ids[k : k + DECODE_IDS].tolist()).encode())
-                    digest.update(machine.close().encode())
-                    decoded.append(digest.hexdigest())
-                out = [pa.array([len(x) for x in all_ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in all_ids]), pa.array(decoded)]
+                counts, digests, decoded, every = [], [], [], []
+                for stretches in encoder.texts(part.column("text")):
+                    n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
+                    for ids in stretches:
+                        n += len(ids)
+                        of_ids.update(np.ascontiguousarray(ids, "<u4"))
+                        for text in machine.feed(ids):
+                            of_text.update(text.encode())
+                        if with_ids:
+                            every.append(ids.astype(np.int32))
+                    of_text.update(machine.close().encode())
+                    counts.append(n)
+                    digests.append(of_ids.hexdigest())
+                    decoded.append(of_text.hexdigest())
+                out = [pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)]
                 if with_ids:
-                    flat = np.concatenate(all_ids).astype(np.int32)
-                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in all_ids]))), pa.int32()), pa.array(flat)))
+                    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+                    out.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(every))))
                 yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in keep), *(x.cast(arrow.field(len(keep) + k).type) for k, x in enumerate(out))], schema=arrow)
 
     return df.select(list(dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: (prime, base) of the two polynomials of a span's hash.
+_MODULI = (((1 << 31) - 1, 1_226_214_263), ((1 << 31) - 19, 845_027_381))
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -65,25 +65,76 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SpanHasher:
-    """64-bit polynomial hashes of byte spans by prefix sums; equal bytes have equal hashes."""
+    """64-bit hashes of byte spans from prefix sums of two polynomials, each modulo a prime of 31 bits.
+
+    Equal bytes have equal hashes. Unequal ones nearly never do, but callers whose results must be exact compare the
+    bytes as well (``distinct``, ``same``).
+    """
 
     def __init__(self) -> None:
-        self.power = self.inverse = np.ones(1, np.uint64)
+        self.power = [np.ones(1, np.uint64) for _ in _MODULI]
+        self.inverse = [np.ones(1, np.uint64) for _ in _MODULI]
 
     def _reach(self, n: int) -> None:
-        if len(self.power) < n:
+        if len(self.power[0]) < n:
             size = max(n, 1 << 16)
-            for name, base in (("power", _BASE), ("inverse", _INVERSE)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+            for k, (p, base) in enumerate(_MODULI):
+                self.power[k], self.inverse[k] = powers(base, p, size), powers(pow(base, -1, p), p, size)
 
     def __call__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(buf)
         self._reach(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * self.power[:n], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        coefficient = buf.astype(np.uint64) + np.uint64(1)
+        halves = []
+        for (p, _), power, inverse in zip(_MODULI, self.power, self.inverse):
+            terms = coefficient * power[:n]
+            if n >= 1 << 24:  # sums of smaller products would leave 64 bits
+                terms %= np.uint64(p)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            halves.append((sums[ends] - sums[starts]) % np.uint64(p) * inverse[starts] % np.uint64(p))
+        return mix(halves[0] << np.uint64(32) | halves[1])
+
+
+def powers(base: int, p: int, n: int) -> np.ndarray:
+    """base^0, base^1, ... (n of them) modulo a prime below 2^32."""
+    out, done = np.ones(n, np.uint64), 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, p)) % np.uint64(p)
+        done += more
+    return out
+
+
+def same(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the bytes of a from each of a_starts on equal those of b from b_starts on, ``sizes`` bytes each."""
+    unequal = a[ranges(a_starts, sizes)] != b[ranges(b_starts, sizes)]
+    if not unequal.any():
+        return np.ones(len(sizes), bool)
+    ends = np.cumsum(sizes)
+    sums = np.concatenate(([0], np.cumsum(unequal)))
+    return sums[ends] == sums[ends - sizes]
+
+
+def distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a span of each distinct content, the content of each span): told apart by hash, then by the bytes themselves."""
+    _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+    first, sizes = at[back], ends - starts
+    check = np.flatnonzero(first != np.arange(len(first)))
+    unequal = sizes[check] != sizes[first[check]]
+    check_bytes = check[~unequal]
+    unequal[~unequal] = ~same(buf, starts[check_bytes], buf, starts[first[check_bytes]], sizes[check_bytes])
+    if not unequal.any():
+        return at, back
+    other: dict[bytes, int] = {}
+    more: list[int] = []
+    for i in check[unequal].tolist():  # unequal spans of equal hashes
+        content = buf[starts[i] : ends[i]].tobytes()
+        if content not in other:
+            other[content] = len(at) + len(more)
+            more.append(i)
+        back[i] = other[content]
+    return np.concatenate((at, more)), back
 
 
 def mix(h: np.ndarray) -> np.ndarray:

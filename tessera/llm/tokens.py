@@ -5,13 +5,14 @@ lower-casing looks across it. So the ids of a text are those of its white-space
 from the punctuation that follows them and lower-cases: a piece of letters and trailing punctuation is cut in two, and
 A-Z are lower-cased before pieces are compared. Pieces with "<", which may hold a special token, stay as they are.
 
-Pieces are found, hashed (64 bits) and looked up in numpy; only pieces that a worker does not remember reach the encoder.
+Pieces are found, hashed and looked up in numpy, and each hit is compared byte by byte: pieces of equal hashes never stand
+in for each other. Only pieces that a worker does not remember reach the encoder.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,32 +86,50 @@ def pieces(column: pa.Array, hasher: bytescan.SpanHasher) -> tuple[np.ndarray, n
     return buf, a, b, hasher(buf, a, b), first + more[first]
 
 
+class _Ragged:
+    """Rows of different lengths in one flat array."""
+
+    def __init__(self, sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.sizes, self.first, self.flat = sizes, np.cumsum(sizes) - sizes, flat
+
+    def take(self, rows: np.ndarray) -> _Ragged:
+        return _Ragged(self.sizes[rows], self.flat[bytescan.ranges(self.first[rows], self.sizes[rows])])
+
+    def plus(self, other: _Ragged) -> _Ragged:
+        return _Ragged(np.concatenate((self.sizes, other.sizes)), np.concatenate((self.flat, other.flat)))
+
+
+def _none(kind: type) -> _Ragged:
+    return _Ragged(np.zeros(0, np.int64), np.zeros(0, kind))
+
+
+def _spans(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> _Ragged:
+    return _Ragged(sizes[rows], buf[bytescan.ranges(starts[rows], sizes[rows])])
+
+
 class _Level:
-    """Ids by hash: sorted hashes, and where the ids of each begin in one flat array."""
+    """Pieces by hash, ascending, with their bytes and their ids. Of pieces with equal hashes one is held."""
 
     def __init__(self) -> None:
-        self.hash, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.hash, self.text, self.ids = np.zeros(0, np.uint64), _none(np.uint8), _none(np.uint32)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each hash, or -1."""
-        if not len(self.hash):
+    def find(self, hashes: np.ndarray, buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The place of each piece, or -1; a hit has the same bytes."""
+        if not len(self.hash) or not len(hashes):
             return np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where(self.hash[at] == hashes, at, -1)
-
-    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(sizes, flat ids) at some places."""
-        sizes = self.first[places + 1] - self.first[places]
-        return sizes, self.ids[bytescan.ranges(self.first[places], sizes)]
-
-    def add(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
-        """Adds hashes that are not in the level."""
+        hit = np.flatnonzero((self.hash[at] == hashes) & (self.text.sizes[at] == sizes))
+        hit = hit[bytescan.same(buf, starts[hit], self.text.flat, self.text.first[at[hit]], sizes[hit])]
+        out = np.full(len(hashes), -1)
+        out[hit] = at[hit]
+        return out
+
+    def add(self, hashes: np.ndarray, text: _Ragged, ids: _Ragged) -> None:
+        """Adds pieces; of equal hashes the one that came first stays."""
         key = np.concatenate((self.hash, hashes))
-        size = np.concatenate((np.diff(self.first), sizes))
-        begin = np.cumsum(size) - size
         order = np.argsort(key, kind="stable")
-        self.ids = np.concatenate((self.ids, ids))[bytescan.ranges(begin[order], size[order])]
-        self.hash, self.first = key[order], np.concatenate(([0], np.cumsum(size[order])))
+        order = order[np.concatenate(([True], key[order[1:]] != key[order[:-1]]))] if len(order) else order
+        self.hash, self.text, self.ids = key[order], self.text.plus(text).take(order), self.ids.plus(ids).take(order)
 
 
 class PieceTable:
@@ -121,45 +140,64 @@ class PieceTable:
         self.levels = [_Level(), _Level(), _Level()]  # recent, main, old
         self.hasher = bytescan.SpanHasher()
 
-    def _remember(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+    def _remember(self, hashes: np.ndarray, text: _Ragged, ids: _Ragged) -> None:
         recent, main, _ = self.levels
-        recent.add(hashes, sizes, ids)
+        recent.add(hashes, text, ids)
         if len(recent.hash) > RECENT:
             if len(main.hash) + len(recent.hash) > self.entries:
                 self.levels[1:] = [_Level(), main]
-            self.levels[1].add(recent.hash, np.diff(recent.first), recent.ids)
+            self.levels[1].add(recent.hash, recent.text, recent.ids)
             self.levels[0] = _Level()
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, the first id of each)."""
         buf, starts, ends, hashes, first = pieces(column, self.hasher)
-        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        sizes, begin = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        left, flat, total = np.arange(len(distinct)), [], 0
-        found_old = None
+        at, back = bytescan.distinct(buf, starts, ends, hashes)
+        hashes, starts, lengths = hashes[at], starts[at], (ends - starts)[at]
+        sizes, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        left, flat, total = np.arange(len(at)), [], 0
+        again = left[:0]
         for k, level in enumerate(self.levels):
-            places = level.find(distinct[left])
-            hit = left[places >= 0]
-            size, ids = level.take(places[places >= 0])
-            sizes[hit], begin[hit] = size, np.cumsum(size) - size + total
-            if k == 2 and len(hit):
-                found_old = distinct[hit], size, ids
-            flat.append(ids)
-            total += len(ids)
+            places = level.find(hashes[left], buf, starts[left], lengths[left])
+            hit, ids = left[places >= 0], level.ids.take(places[places >= 0])
+            sizes[hit], begin[hit] = ids.sizes, ids.first + total
+            if k == 2:
+                again, again_ids = hit, ids
+            flat.append(ids.flat)
+            total += len(ids.flat)
             left = left[places < 0]
         if len(left):
-            a, b = starts[at[left]], ends[at[left]]
             data = buf.tobytes()
-            new = self.encode([data[i:j].decode() for i, j in zip(a.tolist(), b.tolist())])
-            size = np.array([len(x) for x in new], np.int64)
-            ids = np.concatenate(new) if new else np.zeros(0, np.uint32)
-            sizes[left], begin[left] = size, np.cumsum(size) - size + total
-            flat.append(ids)
-            keep = b - a <= KEY_BYTES
-            self._remember(distinct[left][keep], size[keep], ids[np.repeat(keep, size)])
-        if found_old is not None:
-            fresh = self.levels[0].find(found_old[0]) < 0
-            self._remember(found_old[0][fresh], found_old[1][fresh], found_old[2][np.repeat(fresh, found_old[1])])
+            new = self.encode([data[i : i + n].decode() for i, n in zip(starts[left].tolist(), lengths[left].tolist())])
+            ids = _Ragged(np.array([len(x) for x in new], np.int64), np.concatenate(new))
+            sizes[left], begin[left] = ids.sizes, ids.first + total
+            flat.append(ids.flat)
+            keep = np.flatnonzero(lengths[left] <= KEY_BYTES)
+            self._remember(hashes[left[keep]], _spans(buf, starts, lengths, left[keep]), ids.take(keep))
+        if len(again):
+            self._remember(hashes[again], _spans(buf, starts, lengths, again), again_ids)
         used = sizes[back]
         out = np.concatenate(flat)[bytescan.ranges(begin[back], used)]
         return out, np.concatenate(([0], np.cumsum(used)))[first]
+
+
+def segments(raw: memoryview | bytes, limit: int = bytescan.SLICE_BYTES) -> Iterator[tuple[bytes, bool]]:
+    """A text's bytes in stretches of at most ``limit``, cut after ASCII white space where there is any.
+
+    The flag tells that the stretch ends a piece; where it is False, the piece goes on in the next stretch.
+    """
+    at, n = 0, len(raw)
+    while at < n:
+        part = bytes(raw[at : at + limit])
+        white = np.flatnonzero(_WHITE[np.frombuffer(part, np.uint8)]) if at + limit < n else [len(part) - 1]
+        if len(white):
+            part = part[: int(white[-1]) + 1]
+        yield part, bool(len(white))
+        at += len(part)
+
+
+def first_piece(part: bytes) -> tuple[bytes, bytes]:
+    """A stretch cut before its first white space."""
+    white = np.flatnonzero(_WHITE[np.frombuffer(part, np.uint8)])
+    at = int(white[0]) if len(white) else len(part)
+    return part[:at], part[at:]

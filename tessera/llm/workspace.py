@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Any
 
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+#: Keys that the rows of one key are spread over in a join.
+SALTS = 256
 #: Bytes of an Arrow batch sent to a Python worker: texts differ in length, so rows alone bound no memory.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
@@ -24,6 +28,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
+def each(shared: list[Broadcast]) -> Iterator[Any]:
+    """Broadcast values one at a time: of several, a worker reads each from its file and forgets it again."""
+    for one in shared:
+        path = getattr(one, "_path", None)
+        yield one.load_from_path(path) if path and len(shared) > 1 else one.value
+
+
 class Workspace:
     """A fresh folder for one run of one operator."""
 
@@ -54,6 +65,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(rows: DataFrame, side: DataFrame, key: str, member: str) -> DataFrame:
+    """``rows`` joined with ``side``, a row a key; rows of one key are spread by a hash of ``member``."""
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(member), F.lit(SALTS)))
+    spread = rows.select(key, "_salt").distinct().join(side, key)
+    return rows.join(spread, [key, "_salt"]).drop("_salt")
+
+
 def shielded(df: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``df`` with its columns other than ``used`` renamed out of the way, and a function that gives the names back."""
     inner = {c: c if c in used else f"_x{k}" for k, c in enumerate(df.columns)}

@@ -2,15 +2,15 @@
 
 Texts are lower-cased (A-Z) and cut into words of digits, a-z and everything from U+0080 on. The windows of a benchmark
 item are its runs of ten words (the whole item if it has fewer, but not none). A shard is the rows of one task up to
-``SHARD_BYTES`` of text. Its words become symbols of the benchmark's vocabulary; stretches of words without any word
-of another kind are indexed, unless they are shorter than the shortest window: nothing else can hold an occurrence.
-Windows are found by backward search, their places by sampled suffix positions, and the places merge into removal
-spans. Documents stay whole rows throughout, so there is no shuffle.
+``SHARD_BYTES`` of text. Its distinct words are its alphabet, and the sequence of all its words, with a separator after
+each text, is indexed once. Windows are found by backward search through the ranks of the wavelet tree, their places by
+sampled suffix positions, and the places merge into removal spans. Documents stay whole rows throughout, so there is no
+shuffle.
 
-The windows are broadcast in blocks of ``BLOCK_WINDOWS`` at most; with more than one block the documents pass
-through one search after another, each adding its spans to those found before.
+The windows are broadcast in blocks of ``BLOCK_WINDOWS`` at most, made one after the other from a stream of items. A task
+searches all blocks in the same index and holds one block at a time, the driver none.
 
-Words are compared by 64-bit hashes and their lengths.
+Words are told apart by their bytes; hashes only find them.
 
 Defined cases: a null or empty text has no words and is not contaminated; items without words or without an id have no
 windows; items with the same id count once; repeated documents keep a row each; an empty table gives an empty result;
@@ -19,7 +19,7 @@ further columns are ignored by ``report`` and kept by ``clean``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.llm import bytescan
 from tessera.llm.fmindex import FMIndex
-from tessera.llm.workspace import bounded_batches, shielded
+from tessera.llm.workspace import bounded_batches, each, shielded
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -39,42 +39,81 @@ _FOUND = [T.StructField("_words", T.LongType()), T.StructField("_spans", T.Array
 
 
 class Words:
-    """The words of a column: hashes, byte ranges within their text, and the first word of each text."""
-
-    def __init__(self, column: pa.Array, hasher: bytescan.SpanHasher) -> None:
-        buf, bounds = bytescan.text_buffer(column)
-        buf = bytescan.LOWER[buf]
-        starts, ends = bytescan.runs(_WORD[buf])
-        self.hash = hasher(buf, starts, ends)
-        self.first = bytescan.per_text(starts, bounds)
-        base = np.repeat(bounds[:-1], np.diff(self.first))
-        self.start, self.end = starts - base, ends - base
+    """The words of some columns: bytes, byte ranges within their text, and the first word of each text."""
+
+    def __init__(self, columns: list[pa.Array], hasher: bytescan.SpanHasher) -> None:
+        parts = [bytescan.text_buffer(c) for c in columns]
+        self.buf = bytescan.LOWER[np.concatenate([buf for buf, _ in parts])]
+        shift = np.cumsum([0] + [len(buf) for buf, _ in parts])
+        bounds = np.concatenate([b[:-1] + at for (_, b), at in zip(parts, shift)] + [shift[-1:]])
+        self.at, self.to = bytescan.runs(_WORD[self.buf])
+        self.hash = hasher(self.buf, self.at, self.to)
+        self.first = bytescan.per_text(self.at, bounds)
+        self.count = np.diff(self.first)
+        base = np.repeat(bounds[:-1], self.count)
+        self.start, self.end = self.at - base, self.to - base
+
+
+class Alphabet:
+    """The distinct words of a shard, numbered from 1 in the order of their hashes."""
+
+    def __init__(self, words: Words) -> None:
+        rows, number = bytescan.distinct(words.buf, words.at, words.to, words.hash)
+        order = np.argsort(words.hash[rows], kind="stable")
+        rows = rows[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(1, len(order) + 1)
+        self.symbols = place[number]
+        self.hash, self.at, self.size, self.buf = words.hash[rows], words.at[rows], (words.to - words.at)[rows], words.buf
+        same = np.concatenate(([0], np.flatnonzero(np.diff(self.hash)) + 1, [len(self.hash)]))
+        self.most = int(np.diff(same).max(initial=1))  # words of one hash
+
+    def find(self, hashes: np.ndarray, buf: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The symbols of other words, 0 for those that the shard lacks."""
+        out = np.zeros(len(hashes), np.int64)
+        if not len(self.hash):
+            return out
+        low = np.searchsorted(self.hash, hashes)
+        for k in range(self.most):
+            place = np.minimum(low + k, len(self.hash) - 1)
+            hit = np.flatnonzero((self.hash[place] == hashes) & (self.size[place] == size) & (out == 0))
+            hit = hit[bytescan.same(buf, at[hit], self.buf, self.at[place[hit]], size[hit])]
+            out[hit] = place[hit] + 1
+        return out
 
 
 class Block:
-    """Windows of some items: a sorted vocabulary of hashes and right-aligned patterns of symbols."""
-
-    def __init__(self, windows: dict[tuple[int, ...], set[int]]) -> None:
-        self.vocabulary = np.unique(np.array([h for w in windows for h in w], np.uint64))
+    """Windows of some items: the distinct words with their bytes, and right-aligned patterns of word numbers from 1."""
+
+    def __init__(self, windows: dict[tuple[bytes, ...], set[int]]) -> None:
+        known = {w: k for k, w in enumerate(dict.fromkeys(w for window in windows for w in window), 1)}
+        self.size = np.array([len(w) for w in known], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.buf = np.frombuffer(b"".join(known), np.uint8)
+        self.hash = bytescan.SpanHasher()(self.buf, self.at, self.at + self.size)
         self.lengths = np.array([len(w) for w in windows], np.int64)
-        self.patterns = np.zeros((len(windows), int(self.lengths.max())), np.int64)
-        for i, w in enumerate(windows):
-            self.patterns[i, -len(w) :] = np.searchsorted(self.vocabulary, np.array(w, np.uint64)) + 1
-        self.item_first = np.concatenate(([0], np.cumsum([len(x) for x in windows.values()])))
+        self.patterns = np.zeros((len(windows), int(self.lengths.max(initial=1))), np.int64)
+        for i, window in enumerate(windows):
+            self.patterns[i, -len(window) :] = [known[w] for w in window]
+        self.item_first = np.concatenate(([0], np.cumsum([len(x) for x in windows.values()]))).astype(np.int64)
         self.items = np.array([i for x in windows.values() for i in sorted(x)], np.int64)
 
-    def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
+    def within(self, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
+        """(windows of words that the shard holds, their patterns in its symbols)."""
+        symbol = np.concatenate(([0], alphabet.find(self.hash, self.buf, self.at, self.size)))
+        patterns = symbol[self.patterns]
+        some = np.flatnonzero((patterns > 0).sum(axis=1) == self.lengths)
+        return some, patterns[some]
 
 
 def blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[Block]:
     """The benchmark's windows in blocks; items stream through the driver one partition at a time."""
     hasher, found = bytescan.SpanHasher(), {}
     for item, text in benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").toLocalIterator():
-        h = Words(pa.array([text]), hasher).hash.tolist()
-        for k in range(max(1, len(h) - window + 1) if h else 0):
-            found.setdefault(tuple(h[k : k + window]), set()).add(item)
+        words = Words([pa.array([text])], hasher)
+        w = [words.buf[a:b].tobytes() for a, b in zip(words.at.tolist(), words.to.tolist())]
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            found.setdefault(tuple(w[k : k + window]), set()).add(item)
             if len(found) >= limit:
                 yield Block(found)
                 found = {}
@@ -82,37 +121,33 @@ def blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[Block]:
         yield Block(found)
 
 
-def search_shard(columns: list[pa.Array], block: Block) -> tuple[np.ndarray, ...]:
+def search_shard(columns: list[pa.Array], blocks: Iterable[Block]) -> tuple[np.ndarray, ...]:
     """Over all texts of the columns: words by text, (span_first, spans in words), cuts in bytes, (item_first, items)."""
-    hasher = bytescan.SpanHasher()
-    parts = [Words(c, hasher) for c in columns]
-    hashes, start, end = (np.concatenate([getattr(w, k) for w in parts]) for k in ("hash", "start", "end"))
-    count = np.concatenate([np.diff(w.first) for w in parts])
-    texts, first = len(count), np.concatenate(([0], np.cumsum(count)))
-    owner = np.repeat(np.arange(texts), count)
-    # words are laid out with a gap after each text, so that neither stretches nor spans go on into the next text
-    sym = np.zeros(len(hashes) + texts, np.int64)
-    sym[np.arange(len(hashes)) + owner] = block.symbols(hashes)
-    bounds = first + np.arange(texts + 1)
-    a, b = bytescan.runs(sym > 0)
-    long = b - a >= int(block.lengths.min())
-    a, size = a[long], (b - a)[long] + 1
-    place = bytescan.ranges(a, size)
-    at = which = np.zeros(0, np.int64)
-    if len(place):
-        index = FMIndex(sym[place], len(block.vocabulary) + 1)
-        lo, hi = index.search(block.patterns, block.lengths)
-        which = np.repeat(np.arange(len(lo)), hi - lo)
-        at = place[index.locate(bytescan.ranges(lo, hi - lo))]
-    depth = np.bincount(at, minlength=len(sym) + 1) - np.bincount(at + block.lengths[which], minlength=len(sym) + 1)
+    words = Words(columns, bytescan.SpanHasher())
+    alphabet = Alphabet(words)
+    texts, owner = len(words.count), np.repeat(np.arange(len(words.count)), words.count)
+    # a separator follows each text, so that neither occurrences nor spans go on into the next one
+    sym = np.zeros(len(owner) + texts, np.int64)
+    sym[np.arange(len(owner)) + owner] = alphabet.symbols
+    bounds = words.first + np.arange(texts + 1)
+    index = FMIndex(sym, len(alphabet.hash) + 1) if texts else None
+    depth, pairs = np.zeros(len(sym) + 1, np.int64), np.zeros((0, 2), np.int64)
+    for block in blocks:
+        which, patterns = block.within(alphabet)
+        if not len(which):
+            continue
+        lo, hi = index.search(patterns, block.lengths[which])
+        which = np.repeat(which, hi - lo)
+        at = index.locate(bytescan.ranges(lo, hi - lo))
+        depth += np.bincount(at, minlength=len(depth)) - np.bincount(at + block.lengths[which], minlength=len(depth))
+        times = block.item_first[which + 1] - block.item_first[which]
+        new = np.stack((np.repeat(np.searchsorted(bounds, at, side="right") - 1, times), block.items[bytescan.ranges(block.item_first[which], times)]), axis=1)
+        pairs = np.unique(np.concatenate((pairs, new)), axis=0)
     a, b = bytescan.runs(np.cumsum(depth[:-1]) > 0)
     own = np.searchsorted(bounds, a, side="right") - 1
     spans = np.stack((a - bounds[own], b - bounds[own]), axis=1)
-    cuts = np.stack((start[a - own], end[b - own - 1]), axis=1)
-    times = block.item_first[which + 1] - block.item_first[which]
-    pairs = np.stack((np.repeat(np.searchsorted(bounds, at, side="right") - 1, times), block.items[bytescan.ranges(block.item_first[which], times)]), axis=1)
-    pairs = np.unique(pairs, axis=0)
-    return count, np.searchsorted(own, np.arange(texts + 1)), spans, cuts, np.searchsorted(pairs[:, 0], np.arange(texts + 1)), pairs[:, 1]
+    cuts = np.stack((words.start[a - own], words.end[b - own - 1]), axis=1)
+    return words.count, np.searchsorted(own, np.arange(texts + 1)), spans, cuts, np.searchsorted(pairs[:, 0], np.arange(texts + 1)), pairs[:, 1]
 
 
 def cut_out(text: str, cuts: list[int]) -> str:
@@ -124,29 +159,26 @@ def cut_out(text: str, cuts: list[int]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int, cutting: bool = False) -> DataFrame:
-    """``keep`` and the findings of a block, joined with those that the rows already carry; ``cutting`` edits the texts."""
+def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, limit: int = BLOCK_WINDOWS, cutting: bool = False) -> DataFrame:
+    """``keep`` with _words, _spans (hit words), _cuts (hit bytes) and _items of every row of ``df``; ``cutting`` edits the texts."""
+    spark = df.sparkSession
+    bounded_batches(spark)
     schema = T.StructType([df.schema[c] for c in keep] + _FOUND)
-    shared = df.sparkSession.sparkContext.broadcast(block)
-    carried = "_words" in df.columns
+    shared = [spark.sparkContext.broadcast(block) for block in blocks(benchmark, window, limit)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, known = to_arrow_schema(schema), shared.value
+        arrow = to_arrow_schema(schema)
 
         def shard(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, span_first, spans, cuts, item_first, items = search_shard([p.column("text") for p in parts], known)
+            words, span_first, spans, cuts, item_first, items = search_shard([p.column("text") for p in parts], each(shared))
             at = 0
             for part in parts:
                 to = at + part.num_rows
                 row_spans = [spans[a:b].ravel().tolist() for a, b in zip(span_first[at:to], span_first[at + 1 :])]
                 row_cuts = [cuts[a:b].ravel().tolist() for a, b in zip(span_first[at:to], span_first[at + 1 :])]
                 row_items = [items[a:b].tolist() for a, b in zip(item_first[at:to], item_first[at + 1 :])]
-                if carried:
-                    row_spans = [union(x, y) for x, y in zip(part.column("_spans").to_pylist(), row_spans)]
-                    row_cuts = [union(x, y) for x, y in zip(part.column("_cuts").to_pylist(), row_cuts)]
-                    row_items = [sorted({*x, *y}) for x, y in zip(part.column("_items").to_pylist(), row_items)]
                 new = [pa.array(words[at:to], pa.int64()), pa.array(row_spans, pa.list_(pa.int32())), pa.array(row_cuts, pa.list_(pa.int32())), pa.array(row_items, pa.list_(pa.int64()))]
                 if cutting and any(row_cuts):
                     texts = [cut_out(t, c) if c else t for t, c in zip(part.column("text").to_pylist(), row_cuts)]
@@ -159,38 +191,13 @@ def searched(df: DataFrame, block: Block, keep: list[str], shard_bytes: int, cut
             for part in bytescan.slices(batch, "text"):
                 parts.append(part)
                 size += part.column("text").nbytes
-                if size >= shard_bytes:
+                if size >= SHARD_BYTES:
                     yield from shard(parts)
                     parts, size = [], 0
         if parts:
             yield from shard(parts)
 
-    return df.mapInArrow(run, schema)
-
-
-def union(x: list[int], y: list[int]) -> list[int]:
-    """Flat lists of [start, end) pairs as one list of merged pairs."""
-    out: list[int] = []
-    for a, b in sorted(zip([*x[::2], *y[::2]], [*x[1::2], *y[1::2]])):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
-def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, limit: int = BLOCK_WINDOWS, cutting: bool = False) -> DataFrame:
-    """``keep`` with _words, _spans (hit words), _cuts (hit bytes) and _items of every row of ``df``."""
-    bounded_batches(df.sparkSession)
-    found = list(blocks(benchmark, window, limit))
-    if not found:
-        found = [Block({(0,): set()})]  # no word has hash 0 and this length: counts words only
-    wanted = list(dict.fromkeys([*keep, "text"]))
-    df = df.select(wanted)
-    for k, block in enumerate(found):
-        last = k == len(found) - 1
-        df = searched(df, block, keep if last else wanted, SHARD_BYTES, cutting and last)
-    return df
+    return df.select(list(dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)
 
 
 def report(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:

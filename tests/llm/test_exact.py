@@ -18,6 +18,9 @@ SF = "/root/testdata/sf0.001"
 TEXTS = [None, "", " \t\n", "a", "The CAT sat on the mat", "the cat sat on the mat", "x " * 500, "é ñ ß İ Σ 中文 한 🎉", "a" * 5000, "tok<|endoftext|>en don't ''s", "\x1c\x1d mid\x85dle space"]
 
 
+SEGMENTS = tokens.segments
+
+
 def low(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
 
@@ -211,10 +214,89 @@ def test_lookahead_suffices(encoder):
             assert x == y
 
 
+def test_each_token_waits_for_its_own_lookahead(encoder):
+    """A token is emitted as soon as its own lookahead is known, and is then final."""
+    merges, rng = encoder.merges, np.random.default_rng(4)
+    letters = np.frombuffer(b"theraino", np.uint8)
+    early = 0
+    for _ in range(60):
+        head, a, b = (rng.choice(letters, n).tobytes() for n in (90, 300, 300))
+        one, two = (merges.apply([merges.inner[x] for x in head + t]) for t in (a, b))
+        at = 0
+        for x, y in zip(one, two):
+            at += len(merges.token[x])
+            if at + merges.ahead[x] > len(head):
+                break
+            early += at + merges.lookahead > len(head)
+            assert x == y
+    assert early > 0 and merges.lookahead == max(merges.ahead.values())
+
+
 def test_decoder_machine(encoder):
-    ids = encoder.texts(pa.array(["Ünïcode 🎉 text"]))[0].tolist()
+    (ids,) = next(encoder.texts(pa.array(["Ünïcode 🎉 text"])))
     machine = bpe.TextMachine(encoder.merges, library=False)
-    assert "".join(machine.feed([x]) for x in ids) + machine.close() == "ünïcode 🎉 text "
+    bits = [machine.feed([x]) for x in ids.tolist()]
+    assert "".join(t for b in bits for t in b) + machine.close() == "ünïcode 🎉 text "
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_decoder_machine_at_any_cut(encoder, library, monkeypatch, size):
+    """Characters of several bytes are held over cuts of the byte stream."""
+    monkeypatch.setattr(bpe, "DECODE_BYTES", size)
+    ids = library.encode("中文 é 🎉 any text", add_special_tokens=False).ids
+    machine = bpe.TextMachine(encoder.merges)
+    assert "".join(machine.feed(ids)) + machine.close() == library.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", ["a" * 3000 + " b", "the cat. " * 700, "x" * 10 + "中" * 900 + " y" * 40, " " * 2000 + "end", "tok<|endoftext|>en " * 200, "é" * 1111])
+def test_one_long_text_streams(encoder, library, monkeypatch, text):
+    """A text is read in stretches that end anywhere."""
+    for limit in (64, 1000):
+        monkeypatch.setattr(tokens, "segments", lambda raw, cut=limit: SEGMENTS(raw, cut))
+        got = np.concatenate(list(encoder.stretches(memoryview(text.encode())))).tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids
+
+
+def thue_morse(n):
+    w = "a"
+    while len(w) < n:
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w
+
+
+TWINS = [t for n in (1024, 4096) for t in (thue_morse(n), thue_morse(n).translate(str.maketrans("ab", "ba")))]
+
+
+@pytest.fixture(params=["own", "weak"])
+def hashing(request, monkeypatch):
+    """The hash as it is, and one under which all spans collide that have the same last byte."""
+    if request.param == "weak":
+        monkeypatch.setattr(bytescan.SpanHasher, "__call__", lambda self, buf, starts, ends: buf[ends - 1].astype(np.uint64) % np.uint64(3))
+    return request.param
+
+
+def test_equal_hashes_do_not_mix_tokens(hashing, library):
+    texts = [*TWINS, "the cat sat on a mat", "cats and dogs and cats", *TEXTS[:8]]
+    for encode in (lambda c: [np.concatenate([*x, np.zeros(0, np.uint32)]) for x in bpe.Encoder(tokens.default_path()).texts(c)], both_levels):
+        got = [x.tolist() for x in encode(pa.array(texts))]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def both_levels(column):
+    bitpack.library_ids.cache_clear()
+    table = bitpack.library_ids(tokens.default_path())
+    for _ in range(2):  # the second time from memory
+        ids, first = table(column)
+    bitpack.library_ids.cache_clear()
+    return [ids[a:b] for a, b in zip(first, first[1:])]
+
+
+def test_equal_hashes_do_not_mix_items(hashing):
+    texts = [f"{w} x" for w in TWINS] + ["one two three", "no item"]
+    windows = {(w.encode(),): {k} for k, w in enumerate(TWINS[:1] + TWINS[2:3])} | {(b"two", b"three"): {7}, (b"tree",): {8}}
+    _, _, spans, _, first, items = decontaminate.search_shard([pa.array(texts)], [decontaminate.Block(windows)])
+    assert [items[a:b].tolist() for a, b in zip(first, first[1:])] == [[0], [], [1], [], [7], []]
+    assert spans.tolist() == [[0, 1], [0, 1], [1, 3]]
 
 
 @given(st.integers(1, 25), st.integers(0, 300), st.integers(0, 2**32))
@@ -242,22 +324,49 @@ def test_token_files(spark, docs, rows, library):
     assert bitpack.read_files(bitpack.write_files(docs.limit(0), Workspace(spark, "test"), tokens.default_path())).count() == 0
 
 
+def best_of(queries, good, k=10):
+    wanted = []
+    for n, (q, a) in enumerate(queries):
+        rest = list(good)
+        rest.remove((q, a))  # its own row only
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in rest if len(a) == len(b))[:k]
+        wanted += [(q, r + 1, c, max(min(-s, 2**63 - 1), -(2**63))) for r, (s, c) in enumerate(scores)]
+    return sorted(wanted)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     data = [(k, rng.normal(0, 0.3, 6).tolist()) for k in range(230)] + [(300 + k, [0.5] * 6) for k in range(40)]
-    data += [(1000, [float("nan")] * 6), (1100, None), (1200, []), (1300, [None] * 6), (None, [0.1] * 6), (1400, [0.1, 0.2]), (1402, [0.3, 0.4]), (200, data[200][1]), (7, data[7][1])]
+    data += [(1000, [float("nan")] * 6), (1100, None), (1200, []), (1300, [None] * 6), (None, [0.1] * 6), (1400, [0.1, 0.2]), (1402, [0.3, 0.4]), (200, data[200][1]), (7, data[7][1]), (100, data[3][1])]
+    data += [(1500, [1e9, -2e9, 3e5, 0.0, 1.0, 2.0]), (1501, [1e6] * 6)]  # products beyond a double
     rows = spark.createDataFrame(data, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
     good = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in data if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-    wanted = set()
-    for q, a in {q: a for q, a in good if q % 100 == 0}.items():
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in good if c != q and len(a) == len(b))[:10]
-        wanted |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(scores)}
+    wanted = best_of([(q, a) for q, a in good if q % 100 == 0], good)
     for limit in (1024, 2):
         got = topk.top_k(rows, rows.filter("vec_id % 100 = 0"), limit=limit)
-        assert {tuple(r) for r in got.collect()} == wanted
+        assert sorted(tuple(r) for r in got.collect()) == wanted
     assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.02, 0.3])
+def test_top_k_skips_products(spread):
+    """The cutoff spares products, and what it spares is never in the answer."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 64))
+    x = centres[rng.integers(0, 40, 6000)] + spread * rng.normal(size=(6000, 64))
+    x = np.floor(1024 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    ids = np.arange(6000)
+    q = topk.Queries(np.arange(60), ids[::100], x[::100])
+    pool = topk.ends(x, 11)
+    assert len(pool) <= 2 * 11 * 64 < len(x)
+    q.cutoff = topk.gathered(q, ids[pool], x[pool], 11).score[:, -1]
+    exact = np.sort(q.x @ x.T, axis=1)[:, ::-1][:, :11]
+    assert (q.cutoff <= exact[:, -1]).all()
+    lists, products = topk.resolved(q, ids, x, 11, 4)
+    assert (lists.score == exact).all()
+    assert products <= 0.6 * q.x.size * len(x)
+
+
 def test_slices_cover_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (0, 5, 50, 1, 0, 7)] + [None])], names=["text"])
     assert [p.num_rows for p in bytescan.slices(batch, "text", 8)] == [2, 1, 4]

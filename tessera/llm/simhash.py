@@ -4,16 +4,18 @@ Fingerprints: texts are lower-cased (A-Z), split at ASCII white space and cut in
 sequence if it has fewer); bit i is set if it is set in over half the shingles' XXH64 (seed 42). A text without words
 has fingerprint zero and links like any other.
 
-Linking at ``radius`` differing bits: a fingerprint maps to the bit counts of its 32 two-bit segments. The Manhattan
-distance of two such vectors is a lower bound of the Hamming distance, so linked fingerprints differ in at most
-``radius`` groups when the segments are dealt into ``radius + 2`` groups: at least two groups agree in every segment.
-Each fingerprint therefore goes to one grid cell (the counts of two groups) in each of the C(radius + 2, 2) projections;
-pairs within a cell are verified on the exact bits. Only a spanning forest of a cell's links leaves it. Cells with more
-than ``CELL`` members are split into blocks, every pair of blocks being compared in a task of its own, so no cell is ever
-gathered whole.
+Linking at ``radius`` differing bits: a fingerprint maps to the bit counts of its 32 two-bit segments, written as one
+64-bit word in which a count is as many ones (``embedding``). The Manhattan distance of two such vectors, the number of
+bits in which the words differ, is a lower bound of the Hamming distance. Linked fingerprints therefore differ in at most
+``radius`` groups when the segments are dealt into ``radius + AGREE`` groups: in at least ``AGREE`` of them all counts are
+equal. The grid is the range join's first step: each fingerprint goes to one cell, the counts of ``AGREE`` groups, in each
+of the C(radius + AGREE, AGREE) projections. Within a cell pairs in Manhattan range are found first, and these are
+verified on the exact bits. Only a spanning forest of a cell's links leaves it. Cells with more than ``CELL`` members are
+split into blocks, every pair of blocks being compared in a task of its own, so no cell is ever gathered whole.
 
 Exact copies share one fingerprint and are one node from the start. Components come from alternating large-star and
-small-star steps over written tables.
+small-star steps over written tables. Joins on a fingerprint, node or root deal their rows by a salt as well, so copies or a
+component of any number are spread over many keys (``workspace.spread_join``); minima are pre-aggregated.
 
 Defined cases: a null text has no words; a null id takes part but is never a component's id unless all its ids are null;
 repeated rows keep a result row each; an empty table gives an empty result; further columns are ignored.
@@ -31,10 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace, partitions, shielded
+from tessera.llm.workspace import Workspace, partitions, shielded, spread_join
 
 WORDS, SEED, RADIUS = 4, 42, 4
-SEGMENT_BITS = 2
+#: Groups of segments whose counts make a cell; one more divides the pairs within cells by about eight here.
+AGREE = 3
+#: Low bits of the two-bit segments.
+_LOW = 0x5555555555555555
+#: Shingles whose bits are counted at a time.
+_BITS = 1 << 16
 #: Members of a grid cell that one task compares at once.
 CELL = 2048
 #: Hot cells whose list may be broadcast; beyond it they are joined by a shuffle.
@@ -67,12 +74,16 @@ def fingerprints_of(column: pa.Array, words: int = WORDS, seed: int = SEED) -> n
         return out
     begin = np.concatenate(([0], np.cumsum(shingles)[:-1]))
     at = np.arange(total) + np.repeat(first[:-1] - begin, shingles)
-    left, right = starts[at].tolist(), ends[at + np.repeat(size, shingles) - 1].tolist()
-    view, digest = memoryview(flat.tobytes()), xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(view[a:b], seed) for a, b in zip(left, right)), np.uint64, total)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     some = np.flatnonzero(shingles)
-    ones = np.add.reduceat(bits, begin[some], axis=0, dtype=np.int32)
+    ones, origin = np.zeros((len(some), 64), np.int32), begin[some]
+    view, digest = memoryview(flat.tobytes()), xxhash.xxh64_intdigest
+    last = at + np.repeat(size, shingles) - 1
+    for k in range(0, total, _BITS):
+        spans = zip(starts[at[k : k + _BITS]].tolist(), ends[last[k : k + _BITS]].tolist())
+        hashes = np.fromiter((digest(view[a:b], seed) for a, b in spans), np.uint64)
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        low, high = np.searchsorted(origin, k, side="right") - 1, np.searchsorted(origin, k + len(hashes))
+        ones[low:high] += np.add.reduceat(bits, np.maximum(origin[low:high] - k, 0), axis=0, dtype=np.int32)
     over = (2 * ones > shingles[some][:, None]).astype(np.uint8)
     out[some] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return out
@@ -91,46 +102,54 @@ def fingerprints(df: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFra
 
 
 def embedding(fp: np.ndarray) -> np.ndarray:
-    """Bit counts of the two-bit segments, as (n, 32) small integers."""
-    shifts = np.arange(0, 64, SEGMENT_BITS, dtype=np.uint64)
-    return np.bitwise_count((fp[:, None] >> shifts) & np.uint64((1 << SEGMENT_BITS) - 1))
+    """Bit counts of the two-bit segments in unary: 00, 01 or 11 at each segment's place."""
+    low, beside = np.uint64(_LOW), fp >> np.uint64(1)
+    return ((fp | beside) & low) | (fp & beside & low) << np.uint64(1)
 
 
-def projections(radius: int) -> list[np.ndarray]:
-    """The segments of each pair of groups; a prime stride deals neighbouring bits to different groups."""
-    groups = np.array_split(np.arange(64 // SEGMENT_BITS), radius + 2)
-    return [np.concatenate(pair) for pair in combinations(groups, 2)]
+def projections(radius: int) -> list[int]:
+    """Masks of the segments of every ``AGREE`` groups out of ``radius + AGREE``."""
+    groups = [sum(3 << 2 * int(k) for k in g) for g in np.array_split(np.arange(32), radius + AGREE)]
+    return [sum(chosen) for chosen in combinations(groups, AGREE)]
 
 
 def cells(nodes: DataFrame, radius: int) -> DataFrame:
-    """(cell, fp): every fingerprint under its cell of each projection."""
+    """(cell, fp): every fingerprint under its cell of each projection. Cells are hashed; a collision only joins two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         views = projections(radius)
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 fp = batch.column("fp").slice(at, 8192).to_numpy(zero_copy_only=False)
-                counts = embedding(fp.view(np.uint64)).astype(np.int64)
-                for k, segments in enumerate(views):
-                    cell = counts[:, segments] @ (3 ** np.arange(len(segments), dtype=np.int64)) * len(views) + k
-                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(fp)], names=["cell", "fp"])
+                counts = embedding(fp.view(np.uint64))
+                for k, mask in enumerate(views):
+                    cell = bytescan.mix((counts & np.uint64(mask)) + bytescan.mix(np.array([k], np.uint64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp)], names=["cell", "fp"])
 
     return nodes.select("fp").mapInArrow(run, "cell long, fp long")
 
 
+def in_range(a: np.ndarray, b: np.ndarray, fa: np.ndarray, fb: np.ndarray, radius: int) -> np.ndarray:
+    """Whether embeddings a, b lie within the radius and, of those that do, the fingerprints fa, fb as well."""
+    out = np.bitwise_count(a ^ b) <= radius
+    at = np.flatnonzero(out)
+    out[at] = np.bitwise_count((fa[at] if len(fa) == len(out) else fa) ^ fb[at]) <= radius
+    return out
+
+
 def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of the graph "at most ``radius`` bits differ" over distinct fingerprints."""
     left, right = [], []
-    rest = fp
+    rest, counts = fp, embedding(fp)
     while len(rest):
-        front, rest = rest[:1], rest[1:]
+        front, rest, counts = rest[:1], rest[1:], counts[1:]
         while len(front) and len(rest):
-            near = np.bitwise_count(rest ^ front[0]) <= radius
+            near = in_range(counts, embedding(front[:1]), front[:1], rest, radius)
             found = rest[near]
             if len(found):
                 left.append(np.full(len(found), front[0]))
                 right.append(found)
-                rest = rest[~near]
+                rest, counts = rest[~near], counts[~near]
             front = np.concatenate((front[1:], found))
     if not left:
         return fp[:0], fp[:0]
@@ -142,19 +161,21 @@ def cell_links(cell: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarra
     starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(cell)])))
     small = 12
-    left, right = [], []
-    at = np.repeat(sizes <= small, sizes).nonzero()[0]
+    left, right = [fp[:0]], [fp[:0]]
+    at = np.repeat((sizes > 1) & (sizes <= small), sizes).nonzero()[0]
     c, f = cell[at], fp[at]
+    e = embedding(f)
     for lag in range(1, small):
-        near = np.flatnonzero((c[lag:] == c[:-lag]) & (np.bitwise_count(f[lag:] ^ f[:-lag]) <= radius))
+        near = np.flatnonzero((c[lag:] == c[:-lag]) & in_range(e[lag:], e[:-lag], f[:-lag], f[lag:], radius))
         left.append(f[near])
         right.append(f[near + lag])
     for s, n in zip(starts[sizes > small].tolist(), sizes[sizes > small].tolist()):
         own = fp[s : s + n]
         if n <= CELL // 2:  # most cells hold no link at all: one dense comparison tells
-            near = np.bitwise_count(own[:, None] ^ own[None, :]) <= radius
-            linked = near.sum(axis=1) > 1
-            own = own[linked]
+            e = embedding(own)
+            a, b = np.nonzero(np.triu(np.bitwise_count(e[:, None] ^ e[None, :]) <= radius, 1))
+            near = np.bitwise_count(own[a] ^ own[b]) <= radius
+            own = own[np.unique(np.concatenate((a[near], b[near])))]
         a, b = forest(own, radius)
         left.append(a)
         right.append(b)
@@ -167,13 +188,13 @@ def links(nodes: DataFrame, work: Workspace, radius: int = RADIUS) -> DataFrame:
     dealt = cells(nodes, radius)
     hot = work.table("hot", dealt.groupBy("cell").count().filter(F.col("count") > CELL).select("cell", F.expr(f"cast(count div {CELL // 2} as int) + 1").alias("blocks")))
     n_hot = hot.count()
-    dealt = dealt.withColumn("block", F.lit(0))
+    dealt = dealt.withColumn("block", F.lit(0).cast("long"))
     if n_hot:
         side = F.broadcast(hot) if n_hot <= HOT_CELLS else hot
         dealt = dealt.drop("block").join(side, "cell", "left")
         own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (F.least(own, j) * F.col("blocks") + F.greatest(own, j)).cast("int"))
-        dealt = dealt.select("cell", "fp", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.array_distinct(every))).alias("block"))
+        every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j).cast("long") * F.col("blocks") + F.greatest(own, j))
+        dealt = dealt.select("cell", "fp", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.array_distinct(every))).alias("block"))
     n = partitions(spark)
     dealt = dealt.repartition(n, "cell", "block").sortWithinPartitions("cell", "block")
 
@@ -202,26 +223,26 @@ def links(nodes: DataFrame, work: Workspace, radius: int = RADIUS) -> DataFrame:
     return work.table("links", found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def with_least(rows: DataFrame, key: str, value: str, member: str) -> DataFrame:
+    """``rows`` with ``m``, the least ``value`` of their key; rows of one key are spread by a hash of ``member``."""
+    return spread_join(rows, rows.groupBy(key).agg(F.min(value).alias("m")), key, member)
+
+
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), root being the least node of its component."""
 
-    def both(e: DataFrame) -> DataFrame:
-        return e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-
     def tally(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     edges = edges.filter("a <> b")
     state, step = tally(edges), 0
     while state[0]:
-        way = both(edges)  # large-star
-        least = way.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = way.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a <> b").distinct()
-        large = work.table(f"large{step}", large)
+        way = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
+        large = with_least(way, "u", "v", "v").filter("v > u")  # large-star
+        large = work.table(f"large{step}", large.select(F.least("m", "u").alias("a"), F.col("v").alias("b")).filter("a <> b").distinct())
         down = large.select(F.col("b").alias("u"), F.col("a").alias("v"))  # small-star: all edges point to smaller nodes
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("m").alias("a"), F.explode(F.array("u", "v")).alias("b")).filter("a <> b").distinct()
-        small = work.table(f"small{step}", small)
+        small = with_least(down, "u", "v", "v").select(F.col("m").alias("a"), F.explode(F.array("u", "v")).alias("b"))
+        small = work.table(f"small{step}", small.filter("a <> b").distinct())
         work.drop(f"large{step}")
         new, step = tally(small), step + 1
         if new == state:
@@ -232,19 +253,21 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def component_ids(nodes: DataFrame, node: str, roots: DataFrame, work: Workspace) -> DataFrame:
+    """(node, component_id): the least ``least`` among the nodes of a component, for every row of ``nodes`` (node, least)."""
+    members = roots.union(roots.select("root", "root").distinct()).toDF(node, "root")
+    members = work.table("members", members.join(nodes.select(node, "least"), node))
+    moved = work.table("moved", with_least(members, "root", "least", node).select(node, F.col("m").alias("component_id")))
+    return nodes.select(node, "least").join(moved, node, "left").select(node, F.coalesce("component_id", "least").alias("component_id"))
+
+
 def linked(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, copy, fp, component_id) for every row of ``df`` (doc_id, text)."""
     work = Workspace(df.sparkSession, "simhash")
     prints = work.table("prints", fingerprints(df, words))
     nodes = work.table("nodes", prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(nodes, work, radius), work)
-    grouped = work.table("grouped", nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "least"))
-    own = nodes.join(roots.select(F.col("root").alias("r")).distinct(), nodes["fp"] == F.col("r")).select("fp", F.col("fp").alias("root"), "least")
-    grouped = grouped.union(own)
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = work.table("moved", grouped.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"))
-    ids = nodes.join(moved, F.col("fp") == F.col("_fp"), "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(ids, F.col("fp") == F.col("_fp")).select("doc_id", "copy", "fp", "component_id")
+    ids = component_ids(nodes, "fp", components(links(nodes, work, radius), work), work)
+    return spread_join(prints, ids, "fp", "doc_id").select("doc_id", "copy", "fp", "component_id")
 
 
 def near_duplicates(df: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:

@@ -1,19 +1,22 @@
-"""Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text, windows of a word each.
+"""Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text, compared window by window.
 
-A window is a word between spaces, led in and followed by padding that both dictionaries hold, so that zstandard
-neither falls back to a raw block nor stops looking for matches before the word ends. The two compressed lengths of a
-window and the word's length name a cell; the calibrated evidence of a cell is the log ratio of its rates among
-toxic and ordinary training documents. A text's score is a logistic function of the evidence in its windows.
+Texts are lower-cased (A-Z) and read as running words with single spaces. A window is a stretch of ``SCALES`` words: each
+word by itself, and each stretch of four. It is compressed under both dictionaries, led in and followed by padding that
+both hold, so that zstandard neither falls back to a raw block nor stops looking for matches before the window ends. The
+ordinary length less the toxic one, in bytes, is the window's distance. How many windows reach each of the ``STEPS``, the
+greatest distances, their mean and the number of windows go into a logistic score, whose weights are the thresholds'
+calibration.
 
-Training. Words (A-Z lower-cased) that are significantly more frequent among toxic documents make the samples of the
-toxic dictionary; words of ordinary documents those of the other. Evidence and logistic weights are calibrated across
-two folds, each measured with dictionaries of the other fold; the final dictionaries use both. Copies among the
-training rows count once. At most ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows are used, chosen by hash, never one
-that is held out; scoring covers whole texts of all rows.
+Training. The ordinary dictionary holds the words of ordinary training documents by their document frequency, the most
+frequent last (nearest, so cheapest to refer to). The toxic one holds the same and then, in the same order, the words of
+toxic documents that no two ordinary ones use; the ordinary one has as many bytes of its next words in their place, so that
+offsets cost the same. Weights are calibrated on ``PARTS`` parts, each measured with dictionaries of the others; the final
+dictionaries use all. Copies among the training rows count once. At most ``TOXIC_ROWS`` and ``ORDINARY_ROWS``
+labelled rows are used, chosen by hash, never one that is held out; scoring covers whole texts of all rows.
 
-Only distinct words are compressed; a worker remembers them for all its tasks.
+Distances of single words are remembered by a worker for all its tasks, under the words themselves.
 
-Defined cases: a null or empty text has no windows and gets the score of no evidence; a null id counts as held out; rows
+Defined cases: a null or empty text has no windows and gets the score of no distance; a null id counts as held out; rows
 without a toxic label are not trained on, repeated labels take the larger; if the training rows lack either kind, every
 score is 0; an empty table gives an empty result; further columns are ignored.
 """
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,36 +38,45 @@ from tessera.llm import bytescan, tokens
 from tessera.llm.workspace import bounded_batches
 
 TOXIC_ROWS, ORDINARY_ROWS = 1_500, 3_500
-#: Size of the dictionaries in bytes.
-TOXIC_BYTES, ORDINARY_BYTES = 4_096, 65_536
-#: A toxic word's least number of training documents and standard deviations above chance.
-LEAST_DOCS, LEAST_Z = 3, 5.0
-#: Evidence below this counts as none.
-LEAST_EVIDENCE = 1.0
+#: Bytes of what both dictionaries hold, and of what is the toxic one's own.
+SHARED_BYTES, OWN_BYTES = 6_144, 4_096
+#: Least documents of a dictionary's word: of the toxic one's own, of the shared.
+LEAST_TOXIC, LEAST_ORDINARY = 3, 2
+#: Words of a window, and distances in bytes that are counted.
+SCALES, STEPS = (1, 4), (2, 3, 4, 5, 6, 7, 8)
 FOLDS = 5
+#: Parts of the training rows; each is measured with dictionaries of the others.
+PARTS = 5
 _LEAD, _TRAIL = bytes(range(200, 240)), bytes(range(180, 196))  # no text holds these byte sequences: they are not UTF-8
 _WORD = bytescan.table_of([(0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF)])
-_LENGTHS, _SIZES = 17, 64
 
 
 class Words:
-    """The lower-cased words of a column: bytes on demand, hashes, and the first word of each text."""
+    """The words of a column, one space between them: bytes, starts and ends, and the first word of each text."""
 
-    def __init__(self, column: pa.Array, hasher: bytescan.SpanHasher) -> None:
+    def __init__(self, column: pa.Array) -> None:
         buf, bounds = bytescan.text_buffer(column)
         buf = bytescan.LOWER[buf]
-        self.start, self.end = bytescan.runs(_WORD[buf])
-        self.hash = hasher(buf, self.start, self.end)
-        self.first = bytescan.per_text(self.start, bounds)
-        self.buf = buf
-
-    def bytes(self, k: int) -> bytes:
-        return self.buf[self.start[k] : self.end[k]].tobytes()
+        word = _WORD[buf]
+        keep = word.copy()
+        keep[1:] |= word[:-1] & ~word[1:]
+        self.buf = np.where(word, buf, 0x20).astype(np.uint8)[keep]
+        self.start, self.end = bytescan.runs(word[keep])
+        self.first = bytescan.per_text(self.start, np.concatenate(([0], np.cumsum(keep)))[bounds])
+
+    def windows(self, scale: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, first window of each text) of the windows of ``scale`` words."""
+        words = np.diff(self.first)
+        count = -(-words // scale)
+        at = bytescan.ranges(np.zeros(len(count), np.int64), count) * scale
+        last = np.minimum(at + scale, np.repeat(words, count)) - 1
+        origin = np.repeat(self.first[:-1], count)
+        return self.start[origin + at], self.end[origin + last], np.concatenate(([0], np.cumsum(count)))
 
 
 @dataclass
 class Dictionaries:
-    """Two dictionaries and the cell of a word under them."""
+    """Two dictionaries and the distance of a window under them."""
 
     toxic: bytes
     ordinary: bytes
@@ -80,56 +92,96 @@ class Dictionaries:
                 write_checksum=False, write_content_size=False, write_dict_id=False,
             )
             for content in (self.toxic, self.ordinary):
-                own = zstandard.ZstdCompressionDict(content + _TRAIL + _LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                own = zstandard.ZstdCompressionDict(content + b" " + _TRAIL + _LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 own.precompute_compress(compression_params=how)
-                packer = zstandard.ZstdCompressor(dict_data=own, compression_params=how)
-                self._ready += [packer, len(packer.compress(_LEAD + _TRAIL))]
+                self._ready.append(zstandard.ZstdCompressor(dict_data=own, compression_params=how).compress)
         return self._ready
 
-    def cell(self, word: bytes) -> int:
-        toxic, toxic_base, ordinary, ordinary_base = self.compressors()
-        window = b"".join((_LEAD, b" ", word, b" ", _TRAIL))
-        a = min(max(len(toxic.compress(window)) - toxic_base, 0), _SIZES - 1)
-        b = min(max(len(ordinary.compress(window)) - ordinary_base, 0), _SIZES - 1)
-        return (min(len(word), _LENGTHS - 1) * _SIZES + a) * _SIZES + b
-
-
-CELLS = _LENGTHS * _SIZES * _SIZES
+    def distance(self, window: bytes) -> int:
+        toxic, ordinary = self.compressors()
+        padded = b"".join((_LEAD, b" ", window, b" ", _TRAIL))
+        return len(ordinary(padded)) - len(toxic(padded))
 
+    def key(self) -> bytes:
+        return hashlib.sha256(self.toxic + b"\x00" + self.ordinary).digest()
 
-def trained(size: int, samples: list[bytes]) -> bytes:
-    """A zstandard dictionary of the samples; of too few of them, the samples themselves."""
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b"".join(samples)[-size:]
 
-
-def dictionaries(docs: list[tuple[list[bytes], int]]) -> Dictionaries:
+def dictionaries(docs: Iterable[tuple[set[bytes], int]]) -> Dictionaries:
     """Dictionaries of training documents, each given as its distinct words and its label."""
     counts = Counter(), Counter()
     for words, label in docs:
         counts[label].update(words)
-    n1 = sum(label for _, label in docs)
-    share = n1 / len(docs) if docs else 0
 
-    def toxic(word: bytes) -> bool:
-        a, n = counts[1][word], counts[1][word] + counts[0][word]
-        p = n / len(docs)
-        return a >= LEAST_DOCS and a - n * share >= LEAST_Z * np.sqrt(n1 * p * (1 - p) + 1e-9)
+    def chosen(label: int, size: int, least: int, known: set[bytes]) -> list[bytes]:
+        out, left = [], size
+        for word, n in sorted(counts[label].items(), key=lambda x: (-x[1], x[0])):
+            if n < least or left < len(word) + 1:
+                break
+            if word not in known:
+                out.append(word)
+                left -= len(word) + 1
+        return out
+
+    def joined(words: list[bytes]) -> bytes:
+        return b"".join(b" " + w for w in reversed(words))
+
+    shared = chosen(0, SHARED_BYTES, LEAST_ORDINARY, set())
+    own = joined(chosen(1, OWN_BYTES, LEAST_TOXIC, {w for w, n in counts[0].items() if n >= LEAST_ORDINARY}))
+    following = joined(chosen(0, len(own) + 64, 1, set(shared))).rjust(len(own))
+    return Dictionaries(joined(shared) + own, joined(shared) + following[len(following) - len(own) :])
 
-    chosen = {w for w in counts[1] if toxic(w)}
-    lines = [b" " + b" ".join(w for w in words if w in chosen) + b" " for words, label in docs if label]
-    first = [line[k : k + 64] for line in lines for k in range(0, len(line), 64) if len(line) - k >= 8]
-    second = [b" " + b" ".join(words[k : k + 10]) + b" " for words, label in docs if not label for k in range(0, len(words), 10)]
-    return Dictionaries(trained(TOXIC_BYTES, first), trained(ORDINARY_BYTES, second))
 
+class Distances:
+    """Distances of all windows of a column; single words are remembered in two generations."""
+
+    _last: Distances | None = None
+    ENTRIES = 500_000
+
+    def __init__(self, known: Dictionaries) -> None:
+        self.known, self.key = known, known.key()
+        self.words = tokens.Memo(known.distance, self.ENTRIES)
+
+    @classmethod
+    def of(cls, known: Dictionaries) -> Distances:
+        """One table a Python worker, so that what it remembers outlives a task."""
+        if cls._last is None or cls._last.key != known.key():
+            cls._last = cls(known)
+        return cls._last
+
+    def __call__(self, words: Words, hasher: bytescan.SpanHasher) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By scale (distances, first window of each text)."""
+        out, data = [], words.buf.tobytes()
+        for scale in SCALES:
+            a, b, first = words.windows(scale)
+            if scale == 1:
+                at, back = bytescan.distinct(words.buf, a, b, hasher(words.buf, a, b)) if len(a) else (a, a)
+                memo = self.words
+                d = np.array([memo[data[i:j]] for i, j in zip(a[at].tolist(), b[at].tolist())], np.int64)[back]
+            else:
+                distance = self.known.distance
+                d = np.array([distance(data[i:j]) for i, j in zip(a.tolist(), b.tolist())], np.int64)
+            out.append((d, first))
+        return out
+
+
+def features(distances: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A row of numbers for each text."""
+    out = []
+    for d, first in distances:
+        n = np.diff(first)
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((-d, owner))
+        place = np.arange(len(d)) - np.repeat(first[:-1], n)
 
-def features(evidence: np.ndarray, total: int) -> list[float]:
-    """Of a text with ``total`` windows, given the evidence of its distinct windows above the least."""
-    e = np.sort(evidence)[::-1]
-    root = max(1, total) ** 0.5
-    return [float(e[0]) if len(e) else 0.0, float(e.sum()), float(e[:3].sum()), len(e) / root, float(np.log1p(total)), float(e.sum()) / root]
+        def total(x: np.ndarray, owner: np.ndarray = owner, n: np.ndarray = n) -> np.ndarray:
+            return np.bincount(owner, x, len(n))
+
+        size = np.maximum(n, 1)
+        counts = [total(d >= t) for t in STEPS]
+        out += [total(d[order] * (place < k)) for k in (1, 3)]
+        out += [np.log1p(c) for c in counts] + [c / size for c in counts[1:5]]
+        out += [total(d) / size, np.log(size)]
+    return np.stack(out, axis=1)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +201,6 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarr
 @dataclass
 class Model:
     dictionaries: Dictionaries
-    evidence: np.ndarray
     mean: np.ndarray
     sd: np.ndarray
     weights: np.ndarray
@@ -157,40 +208,31 @@ class Model:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(np.c_[np.ones(len(x)), (x - self.mean) / self.sd] @ self.weights, -700, 700)))
 
-    def key(self) -> str:
-        return hashlib.sha256(self.dictionaries.toxic + self.dictionaries.ordinary).hexdigest()
-
 
-def fit(docs: list[tuple[int, list[bytes], int, int]]) -> Model | None:
-    """A model of training documents (id, distinct words, words, label); None if a kind is missing."""
-    if len({label for *_, label in docs}) < 2:
-        return None
-    fold = [int(bytescan.mix(np.array([i], np.int64).view(np.uint64))[0]) % 2 for i, *_ in docs]
-    cells: list[list[int]] = [[] for _ in docs]
-    for side in (0, 1):
-        other = dictionaries([(w, label) for (_, w, _, label), f in zip(docs, fold) if f != side])
-        memo = tokens.Memo(other.cell)
-        for k, (_, words, _, _) in enumerate(docs):
-            if fold[k] == side:
-                cells[k] = [memo[w] for w in words]
+def fit(docs: list[tuple[int, bytes, int]]) -> Model | None:
+    """A model of training documents (id, words with a space between, label); None if a kind is missing."""
     labels = np.array([label for *_, label in docs])
-    counts = np.stack([np.bincount(np.array([c for k in np.flatnonzero(labels == v) for c in cells[k]], np.int64), minlength=CELLS) for v in (0, 1)]).astype(float)
-    n0, n1 = np.maximum(1, counts.sum(axis=1))
-    evidence = np.log((counts[1] + 0.5 * n1 / n0) / n1) - np.log((counts[0] + 0.5) / n0)
-    evidence[counts.sum(axis=0) == 0] = 0
-    x = []
-    for own, (_, _, total, _) in zip(cells, docs):
-        e = evidence[np.array(own, np.int64)]
-        x.append(features(e[e > LEAST_EVIDENCE], total))
-    return Model(dictionaries([(w, label) for _, w, _, label in docs]), evidence, *logistic(np.array(x), labels))
+    if len(set(labels.tolist())) < 2:
+        return None
+    fold = bytescan.mix(np.array([i for i, *_ in docs], np.int64).view(np.uint64)) % np.uint64(PARTS)
+    distinct = [(set(text.split(b" ")), label) for _, text, label in docs]
+    hasher, x = bytescan.SpanHasher(), np.zeros((len(docs), 0))
+    for side in range(PARTS):
+        mine = np.flatnonzero(fold == side)
+        other = Distances(dictionaries(distinct[k] for k in np.flatnonzero(fold != side)))
+        for k in mine.tolist():
+            row = features(other(Words(pa.array([docs[k][1]], pa.binary())), hasher))
+            x = x if x.shape[1] else np.zeros((len(docs), row.shape[1]))
+            x[k] = row
+    return Model(dictionaries(distinct), *logistic(x, labels))
 
 
 def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, ordinary_rows: int) -> list[tuple[int, list[bytes], int, int]]:
-    """(id, distinct words, words, label) of a bounded hash sample of labelled rows that are not held out, copies once."""
+def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, ordinary_rows: int) -> list[tuple[int, bytes, int]]:
+    """(id, words, label) of a bounded hash sample of labelled rows that are not held out, copies once."""
     bounded_batches(docs.sparkSession)
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg((F.max("toxic") >= 1).cast("int").alias("toxic"))
     chosen: dict[int, int] = {}
@@ -206,27 +248,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, ordinary_
         hasher = bytescan.SpanHasher()
         for batch in batches:
             ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            for part in bytescan.slices(batch.filter(pa.array(np.isin(ids, shared.value))), "text"):
-                w = Words(part.column("text"), hasher)
-                words, marks = [], []
-                for a, b in zip(w.first, w.first[1:]):
-                    h = w.hash[a:b]
-                    _, at = np.unique(h, return_index=True)
-                    words.append(b" ".join(w.bytes(a + k) for k in np.sort(at)))
-                    grams = h.copy()
-                    for k in range(1, min(4, len(h))):
-                        grams = bytescan.mix(grams[:-1] * np.uint64(3) + h[k:])
+            wanted = np.isin(ids, shared.value) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            for part in bytescan.slices(batch.filter(pa.array(wanted)), "text"):
+                w = Words(part.column("text"))
+                data, h = w.buf.tobytes(), hasher(w.buf, w.start, w.end)
+                texts, marks = [], []
+                for a, b in zip(w.first.tolist(), w.first[1:].tolist()):
+                    texts.append(data[w.start[a] : w.end[b - 1]] if b > a else b"")
+                    grams = h[a:b]
+                    for k in range(1, min(4, b - a)):
+                        grams = bytescan.mix(grams[:-1] * np.uint64(3) + h[a + k : b])
                     marks.append([int((bytescan.mix(grams ^ np.uint64(s + 1)) >> np.uint64(1)).min(initial=(1 << 63) - 1)) for s in range(4)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(words, pa.binary()), pa.array(np.diff(w.first)), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "words", "total", "marks"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(texts, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "words", "marks"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary, total long, marks array<long>")
+    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary, marks array<long>")
     seen: set[tuple[int, int]] = set()
-    once: dict[bytes, bytes] = {}  # equal words share one object
     out = []
-    for i, words, total, marks in found.orderBy("doc_id").toLocalIterator():  # as many rows as were chosen
+    for i, words, marks in found.orderBy("doc_id").toLocalIterator():  # as many rows as were chosen
         own = set(enumerate(marks))
-        if words and not own & seen:
-            out.append((i, [once.setdefault(w, w) for w in bytes(words).split(b" ")], total, chosen[i]))
+        if words and len(own & seen) < 3:
+            out.append((i, bytes(words), chosen[i]))
         seen |= own
     return out
 
@@ -239,55 +280,15 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hasher = shared.value, bytescan.SpanHasher()
-        known = WordEvidence.of(model)
+        distances = Distances.of(model.dictionaries)
         for batch in batches:
             for part in bytescan.slices(batch, "text"):
-                w = Words(part.column("text"), hasher)
-                e = known.evidence(w)
-                hits = np.flatnonzero(e > LEAST_EVIDENCE)
-                text = np.searchsorted(w.first, hits, side="right") - 1
-                pair = np.stack((text.astype(np.uint64), w.hash[hits]), axis=1)
-                _, once = np.unique(pair, axis=0, return_index=True)
-                text, hits = text[once], hits[once]
-                cuts = np.searchsorted(text, np.arange(len(w.first)))
-                x = [features(e[hits[a:b]], int(n)) for a, b, n in zip(cuts, cuts[1:], np.diff(w.first))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(model.scores(np.array(x)))], names=["doc_id", "score"])
+                x = features(distances(Words(part.column("text")), hasher))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(model.scores(x))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
-class WordEvidence:
-    """Evidence of words by their hashes, compressing only words that this worker has not seen lately."""
-
-    _last: tuple[str, WordEvidence] | None = None
-    ENTRIES = 1_000_000
-
-    def __init__(self, model: Model) -> None:
-        self.model, self.young, self.old = model, {}, {}
-
-    @classmethod
-    def of(cls, model: Model) -> WordEvidence:
-        if cls._last is None or cls._last[0] != model.key():
-            cls._last = model.key(), cls(model)
-        return cls._last[1]
-
-    def evidence(self, words: Words) -> np.ndarray:
-        distinct, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        out = np.empty(len(distinct))
-        if len(self.young) > self.ENTRIES:
-            self.young, self.old = {}, self.young
-        young, old, table, cell = self.young, self.old, self.model.evidence, self.model.dictionaries.cell
-        for k, (h, first) in enumerate(zip(distinct.tolist(), at.tolist())):
-            e = young.get(h)
-            if e is None:
-                e = old.get(h)
-                if e is None:
-                    e = float(table[cell(words.bytes(first))])
-                young[h] = e
-            out[k] = e
-        return out[back]
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text)."""
     model = fit(training_rows(docs, labels, toxic_rows, ordinary_rows))

@@ -112,16 +112,73 @@ def test_secrets(spark, docs, odd):
 def test_network_on_unseen_forms(docs):
     model = secrets.fit(docs)
     rows = secrets.generated(seed=99, count=600)
-    buf = np.frombuffer(b"".join(r[0] + b"\n" for r in rows), np.uint8)
-    base = np.cumsum([0] + [len(r[0]) + 1 for r in rows])[:-1]
-    yes = model.accepts(buf, base + [r[1] for r in rows], base + [r[2] for r in rows])
+    yes = model.accepts(*secrets.laid_out(rows))
     y = np.array([r[3] for r in rows]) == 1
     assert yes[y].mean() >= 0.8 and yes[~y].mean() <= 0.03
 
 
+FORMS = {
+    "ghp": ("ghp_", "aA0", 36), "live": ("sk_live_", "aA0", 24), "jwt": ("eyJ", "aA0", 90), "base64": ("", "aA0+/", 40), "upper_hex": ("", "0H", 40), "xoxb": ("xoxb-", "0", 12),
+    "aiza": ("AIza", "aA0_-", 35), "mixed": ("", "aA0", 20), "letters": ("", "aA", 32), "glued": ("AbCdefgh0123456789abcdef", "A", 20),
+}
+SETS = {"a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0": "0123456789", "H": "ABCDEF"}
+
+
+@pytest.fixture(scope="module")
+def fitted(docs):
+    return secrets.fit(docs)
+
+
+def planted(docs, form, count=60):
+    """(text, start, end) of secrets of a form within documents' words."""
+    lead, sets, n = FORMS[form]
+    rng = np.random.default_rng(sorted(FORMS).index(form))
+    letters = list("".join(SETS.get(c, c) for c in sets))
+    texts = [r[0] for r in docs.filter("n_chars between 300 and 3000").select("text").limit(count).collect()]
+    for t in texts:
+        w = t.split(" ")
+        at = int(rng.integers(len(w)))
+        body = lead + "".join(rng.choice(letters, n)) + ("-" + "".join(rng.choice(list("0123456789"), 12)) + "-" + "".join(rng.choice(list(SETS["a"] + SETS["A"]), 24)) if form == "xoxb" else "")
+        before = " ".join([*w[:at], ""])
+        yield before + " ".join([body, *w[at:]]), len(before), len(before) + len(body)
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_planted_secrets_are_found(docs, fitted, form):
+    rows = list(planted(docs, form))
+    spans, first = secrets.spans_of(secrets.Scan(pa.array([r[0] for r in rows])), fitted)
+    hits = [any(s[1] == 3 and s[2] <= a and s[3] >= b for s in spans[i:j]) for (_, a, b), i, j in zip(rows, first, first[1:])]
+    assert np.mean(hits) >= 0.9
+
+
+def test_ordinary_candidates_pass(docs, fitted):
+    """Of the documents' own candidates, words of letters only included, few are marked; UUIDs and the like are no secrets."""
+    scan = secrets.Scan(pa.array([r[0] for r in docs.select("text").collect()]))
+    spans, _ = secrets.spans_of(scan, fitted)
+    assert len(scan.start) > 1000 and (spans[:, 1] == 3).sum() <= 0.002 * len(scan.start)
+    assert np.nanmin(fitted.recalls) >= secrets.RECALL - 0.02 and np.nanmax(fitted.false_rates) <= 0.02
+    rng = np.random.default_rng(8)
+    ids = ["-".join("".join(rng.choice(list("0123456789ABCDEF"), n)) for n in (8, 4, 4, 4, 12)) for _ in range(100)]
+    spans, _ = secrets.spans_of(secrets.Scan(pa.array([f"see {i} for it" for i in ids])), fitted)
+    assert (spans[:, 1] == 3).sum() <= 8
+
+
+def test_context_ends_with_the_text(docs, fitted):
+    """A document's findings do not depend on its neighbours in a batch."""
+    texts = [r[0] for r in docs.filter("doc_id < 40").select("text").collect()] + ["key Zx9Qw8Er7Ty6Ui5Op4As", "Zx9Qw8Er7Ty6Ui5Op4As"]
+
+    def found(batch):
+        scan = secrets.Scan(pa.array(batch))
+        text = np.searchsorted(scan.bounds, scan.start, side="right") - 1
+        return fitted.probabilities(scan.buf, scan.start, scan.end, scan.bounds[text], scan.bounds[text + 1] - 1)
+
+    assert np.allclose(found(texts), np.concatenate([found([t]) for t in texts]), atol=1e-5)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(0)
     net = secrets.Network()
+    net.p = {k: v.astype(float) for k, v in net.p.items()}
     codes = rng.integers(1, secrets.CHARS, (3, secrets.LEFT + secrets.BODY + secrets.RIGHT)).astype(np.uint8)
     y, w = np.array([1.0, 0.0, 1.0]), np.ones(3)
 
@@ -147,13 +204,99 @@ def test_toxicity_held_out(spark, odd):
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for i, r in got.items())
     held = [(got[r["doc_id"]], r["toxic"]) for r in labels.collect() if got[r["doc_id"]]["held_out"]]
     assert np.mean([g["predicted"] == t for g, t in held]) >= 0.96
-    model = toxicity.fit(toxicity.training_rows(docs, labels, 300, 600))
+    training = toxicity.training_rows(docs, labels, 300, 600)
+    assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i, *_ in training)
+    model = toxicity.fit(training)
     assert toxicity.scored(odd, model).count() == len(EDGES)
     assert toxicity.scored(odd.limit(0), model).count() == 0
     none = toxicity.toxicity(odd, labels.limit(0))
     assert {r["score"] for r in none.collect()} == {0.0}
 
 
+def test_distances_are_those_of_whole_windows(docs, monkeypatch):
+    """Windows, their lengths under both dictionaries and the numbers of a text, made one by one."""
+    texts = [r[0] for r in docs.filter("doc_id < 12").select("text").collect()] + [None, "", "!?", "One two, THREE four-five é"]
+    words = [re.findall(rb"[0-9a-z\x80-\xff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode()) for t in texts]
+    known = toxicity.dictionaries([(set(w), int(k % 3 == 0)) for k, w in enumerate(words)] * 3)
+    assert len(known.toxic) == len(known.ordinary)
+    got = toxicity.Distances(known)(toxicity.Words(pa.array(texts)), toxicity.bytescan.SpanHasher())
+    for scale, (d, first) in zip(toxicity.SCALES, got):
+        for k, w in enumerate(words):
+            wanted = [known.distance(b" ".join(w[i : i + scale])) for i in range(0, len(w), scale)]
+            assert d[first[k] : first[k + 1]].tolist() == wanted
+    x = toxicity.features(got)
+    for k in range(len(texts)):
+        row = []
+        for d, first in got:
+            own = sorted(d[first[k] : first[k + 1]].tolist(), reverse=True)
+            n = max(1, len(own))
+            counts = [sum(v >= t for v in own) for t in toxicity.STEPS]
+            row += [sum(own[:1]), sum(own[:3]), *np.log1p(counts), *(c / n for c in counts[1:5]), sum(own) / n, np.log(n)]
+        assert np.allclose(x[k], row)
+    weak = toxicity.bytescan.SpanHasher()
+    monkeypatch.setattr(type(weak), "__call__", lambda self, buf, starts, ends: np.zeros(len(starts), np.uint64))
+    again = toxicity.Distances(known)(toxicity.Words(pa.array(texts)), weak)
+    assert all((a == b).all() for (a, _), (b, _) in zip(got, again))
+
+
+def evidence(pages, docs):
+    """The posteriors of all pages, step by step."""
+    hasher, names = language.bytescan.SpanHasher(), sorted({r["lang"] for r in docs if r["lang"]})
+    logs = {}
+    for lang in names:
+        counts = np.zeros(2 * language.BUCKETS)
+        for r in docs:
+            if r["lang"] == lang:
+                np.add.at(counts, language.features(pa.array([r["text"]]), hasher)[0], 1)
+        counts = counts.reshape(2, -1) + language.SMOOTHING
+        logs[lang] = np.log(counts / counts.sum(axis=1, keepdims=True)).ravel().astype(np.float32)
+    rows = []
+    for r in pages:
+        z = np.array([logs[x][language.features(pa.array([language.visible(r["html"])]), hasher)[0]].sum(dtype=float) for x in names]) / language.BURST
+        like = np.exp(np.maximum(z - z.max(), -50))
+        host = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", r["url"] or "")
+        host = host.group(1).lower() if host else ""
+        labels = host.split(".")
+        rows.append((like, like / like.sum(), language.declared(r["html"]), host, ".".join(labels[-2:]) if len(labels) > 2 else host, labels[-1]))
+    own = np.array([r[1] for r in rows])
+    every, n = own.sum(axis=0), len(names)
+    code = lambda x: np.array([language.PULL if x == name else 0.0 for name in names])
+    out = []
+    for k, (like, mine, *place) in enumerate(rows):
+        rest = [np.maximum(own[[j for j, r in enumerate(rows) if r[c] == rows[k][c]]].sum(axis=0) - mine, 0) for c in (2, 3, 4, 5)]
+        values = [len({r[c] for r in rows}) + 1 for c in (2, 5)]
+        rate = [(rest[i] + code(rows[k][c]) + language.SMOOTHING) / (every - mine + language.SMOOTHING * v + language.PULL) for i, c, v in ((0, 2, values[0]), (3, 5, values[1]))]
+        prior = (every + 1) / (every.sum() + n)
+        for group in (rest[3], rest[2], rest[1]):
+            prior = (group + language.PULL * prior) / (group.sum() + language.PULL)
+        p = like * (rate[0] if place[0] else 1.0) * rate[1] * prior
+        out.append(p / p.sum())
+    return names, out
+
+
+@pytest.mark.parametrize("block, side", [(64, 2_000_000), (3, 0)])
+def test_language_evidence_step_by_step(spark, docs, monkeypatch, block, side):
+    """Whatever the number of languages and the way of the joins."""
+    monkeypatch.setattr(language, "BLOCK", block)
+    monkeypatch.setattr(language, "SIDE_NUMBERS", side)
+    known = docs.filter("doc_id < 60").select("text", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("x"), F.col("doc_id").cast("string"))).otherwise(F.col("lang")).alias("lang"))
+    pages = spark.read.parquet(f"{SF}/pages.parquet").filter("page_id < 50")
+    pages = pages.union(spark.createDataFrame([(9001, None, None), (9002, "http://A.b.co.uk/", "x" * 70_000 + '<html data-lang="de" lang=en>'), (9002, "http://A.b.co.uk/", "")], pages.schema))
+    names, wanted = evidence(pages.collect(), known.collect())
+    best = sorted((r["page_id"], names[int(p.argmax())], round(float(p.max()), 6)) for r, p in zip(pages.collect(), wanted))
+    got = sorted((r["page_id"], r["language"], round(r["probability"], 6)) for r in language.languages_of(pages, known).collect())
+    assert len(names) > 10 and [g[:2] for g in got] == [b[:2] for b in best]
+    assert np.allclose([g[2] for g in got], [b[2] for b in best], atol=1e-5)
+
+
+@pytest.mark.parametrize(
+    "page, lang",
+    [("<!-- " + "c" * 90_000 + ' --><html class="a>b" lang="fr-CA">', "fr"), ("<html data-lang='de'>", ""), ("<html data-lang='de' LANG = es>", "es"), ("<!-- <html lang=it> --><html lang='pt'>", "pt"), ("<htmlx lang=it>", ""), ("<html>", ""), ("<html lang>", ""), (None, "")],
+)
+def test_declared_language(page, lang):
+    assert language.declared(page) == lang
+
+
 def test_language(spark, docs):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r["page_id"]: r for r in language.languages_of(pages, docs).collect()}
@@ -207,8 +350,6 @@ def test_unlabelled_secrets_leave_recall(spark, docs, monkeypatch):
     monkeypatch.setattr(secrets, "labelled", lambda docs, limit: [r for r in rows if not r[3]] + unknown)
     model = secrets.fit(docs)
     found = [r for r in secrets.generated() if r[3] and int(hashlib.sha256(r[0][r[1] : r[2]]).hexdigest()[:8], 16) % 10 == 0]
-    buf = np.frombuffer(b"".join(r[0] + b"\n" for r in found), np.uint8)
-    base = np.cumsum([0] + [len(r[0]) + 1 for r in found])[:-1]
-    assert model.accepts(buf, base + [r[1] for r in found], base + [r[2] for r in found]).mean() >= 0.9  # neighbours in the buffer differ from those in fit
+    assert model.accepts(*secrets.laid_out(found)).mean() >= 0.9
     assert np.isfinite(model.thresholds).all() and np.nanmax(model.false_rates) > 0
     assert (np.arange(100) >= secrets.recall_threshold(np.arange(100))).mean() >= secrets.RECALL

@@ -32,26 +32,30 @@ from tessera.llm.fmindex import FMIndex
 from tessera.llm.workspace import bounded_batches, each, shielded
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_WINDOWS = 200_000
 _WORD = bytescan.table_of([(0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF)])
 _FOUND = [T.StructField("_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_cuts", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.LongType()))]
 
 
+_HASHER = bytescan.SpanHasher()
+
+
 class Words:
     """The words of some columns: bytes, byte ranges within their text, and the first word of each text."""
 
-    def __init__(self, columns: list[pa.Array], hasher: bytescan.SpanHasher) -> None:
-        parts = [bytescan.text_buffer(c) for c in columns]
-        self.buf = bytescan.LOWER[np.concatenate([buf for buf, _ in parts])]
-        shift = np.cumsum([0] + [len(buf) for buf, _ in parts])
-        bounds = np.concatenate([b[:-1] + at for (_, b), at in zip(parts, shift)] + [shift[-1:]])
-        self.at, self.to = bytescan.runs(_WORD[self.buf])
-        self.hash = hasher(self.buf, self.at, self.to)
-        self.first = bytescan.per_text(self.at, bounds)
-        self.count = np.diff(self.first)
-        base = np.repeat(bounds[:-1], self.count)
-        self.start, self.end = self.at - base, self.to - base
+    def __init__(self, columns: list[pa.Array]) -> None:
+        parts, shift = [], 0
+        for column in columns:  # hashed one by one: a hash does not depend on the place in the buffer
+            buf, bounds = bytescan.text_buffer(column)
+            buf = bytescan.LOWER[buf]
+            at, to = bytescan.runs(_WORD[buf])
+            first = bytescan.per_text(at, bounds)
+            base = np.repeat(bounds[:-1], np.diff(first))
+            parts.append((buf, _HASHER(buf, at, to), at + shift, to + shift, np.diff(first), at - base, to - base))
+            shift += len(buf)
+        self.buf, self.hash, self.at, self.to, self.count, self.start, self.end = (np.concatenate(x) for x in zip(*parts))
+        self.first = np.concatenate(([0], np.cumsum(self.count)))
 
 
 class Alphabet:
@@ -90,7 +94,7 @@ class Block:
         self.size = np.array([len(w) for w in known], np.int64)
         self.at = np.cumsum(self.size) - self.size
         self.buf = np.frombuffer(b"".join(known), np.uint8)
-        self.hash = bytescan.SpanHasher()(self.buf, self.at, self.at + self.size)
+        self.hash = _HASHER(self.buf, self.at, self.at + self.size)
         self.lengths = np.array([len(w) for w in windows], np.int64)
         self.patterns = np.zeros((len(windows), int(self.lengths.max(initial=1))), np.int64)
         for i, window in enumerate(windows):
@@ -108,9 +112,9 @@ class Block:
 
 def blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[Block]:
     """The benchmark's windows in blocks; items stream through the driver one partition at a time."""
-    hasher, found = bytescan.SpanHasher(), {}
+    found: dict[tuple[bytes, ...], set[int]] = {}
     for item, text in benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").toLocalIterator():
-        words = Words([pa.array([text])], hasher)
+        words = Words([pa.array([text])])
         w = [words.buf[a:b].tobytes() for a, b in zip(words.at.tolist(), words.to.tolist())]
         for k in range(max(1, len(w) - window + 1) if w else 0):
             found.setdefault(tuple(w[k : k + window]), set()).add(item)
@@ -123,7 +127,7 @@ def blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[Block]:
 
 def search_shard(columns: list[pa.Array], blocks: Iterable[Block]) -> tuple[np.ndarray, ...]:
     """Over all texts of the columns: words by text, (span_first, spans in words), cuts in bytes, (item_first, items)."""
-    words = Words(columns, bytescan.SpanHasher())
+    words = Words(columns)
     alphabet = Alphabet(words)
     texts, owner = len(words.count), np.repeat(np.arange(len(words.count)), words.count)
     # a separator follows each text, so that neither occurrences nor spans go on into the next one

@@ -13,31 +13,38 @@ SAMPLE_EVERY = 32
 def suffix_array(sym: np.ndarray) -> np.ndarray:
     """Start positions of the suffixes in order; every separator counts as different, in the order of position.
 
-    Prefix doubling that re-sorts only the groups that still tie. ``sym`` must end with a separator.
+    Prefix doubling that starts with as many symbols as a 64-bit key holds and re-sorts only the groups that still tie.
+    ``sym`` must end with a separator.
     """
     n = len(sym)
     at = np.flatnonzero(sym == 0)
-    key = sym.astype(np.int64) + len(at)
-    key[at] = np.arange(len(at))
-    order = np.argsort(key, kind="stable")
+    single = sym.astype(np.int64) + len(at)
+    single[at] = np.arange(len(at))
+    base = int(single.max()) + 1
+    key, depth = single, 1
+    padded = np.concatenate((single, np.zeros(64, np.int64)))
+    while base ** (depth + 1) < 1 << 62 and depth < 64:  # several symbols in one key from the start
+        key = key * base + padded[depth : depth + n]
+        depth += 1
+    order = np.argsort(key)
     rank = np.empty(n, np.int64)
     sorted_key = key[order]
     head = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
     group = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank[order] = group
-    depth = 1
     active = np.flatnonzero(~(head & np.concatenate((head[1:], [True]))))
     while len(active):
         pos, own = order[active], group[active]
         then = rank[pos + depth]
-        by = np.lexsort((then, own))
-        pos, then = pos[by], then[by]
+        pair = own * n + then
+        by = np.argsort(pair)
+        pos, pair, own = pos[by], pair[by], own[by]
         order[active] = pos
-        fresh = np.concatenate(([True], (own[1:] != own[:-1]) | (then[1:] != then[:-1])))
+        fresh = np.concatenate(([True], pair[1:] != pair[:-1]))
         group[active] = np.maximum.accumulate(np.where(fresh, active, 0))
         rank[pos] = group[active]
-        single = fresh & np.concatenate((fresh[1:], [True]))
-        active = active[~single]
+        alone = fresh & np.concatenate((fresh[1:], [True]))
+        active = active[~alone]
         depth *= 2
     return order
 
@@ -67,6 +74,7 @@ class WaveletTree:
 
     def __init__(self, seq: np.ndarray, sigma: int) -> None:
         self.levels: list[tuple[int, BitVector, int]] = []
+        seq = seq.astype(np.uint32)
         for shift in range(max(1, int(sigma - 1).bit_length()) - 1, -1, -1):
             bit = (seq >> shift) & 1 == 1
             self.levels.append((shift, BitVector(bit), int(len(seq) - bit.sum())))

@@ -89,32 +89,35 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + same * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@lru_cache(maxsize=REMEMBERED)
-def every_score(a: str, b: str) -> tuple[float, ...]:
-    return ratio(a, b), partial(a, b), token_sort(a, b), token_set(a, b), jaro_winkler(a, b)
+_BY_NAME = dict(zip(SCORES, (ratio, partial, token_sort, token_set, jaro_winkler)))
+
 
+@lru_cache(maxsize=REMEMBERED)
+def wanted_scores(which: tuple[str, ...], a: str, b: str) -> tuple[float, ...]:
+    return tuple(_BY_NAME[s](a, b) for s in which)
 
-@F.pandas_udf(StructType([StructField(s, DoubleType()) for s in SCORES]))
-def scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """All scores of each pair; null if either is null."""
-    none = (None,) * len(SCORES)
-    rows = [none if x is None or y is None else every_score(x, y) for x, y in zip(a, b)]
-    return pd.DataFrame(rows, columns=SCORES, dtype=float)
 
+def scores(a: Column, b: Column, which: tuple[str, ...] = SCORES) -> Column:
+    """A struct of the wanted scores of each pair, no others being computed; null if either is null."""
 
-def half_up(score: Column) -> Column:
-    """A score as a whole number."""
-    return F.floor(score + 0.5).cast("int")
+    @F.pandas_udf(StructType([StructField(s, DoubleType()) for s in which]))
+    def each(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        none = (None,) * len(which)
+        rows = [none if x is None or y is None else wanted_scores(which, x, y) for x, y in zip(a, b)]
+        return pd.DataFrame(rows, columns=list(which), dtype=float)
 
+    return each(a, b)
 
-def guarded(a: Column, b: Column) -> Column:
-    """Scores where both strings are non-empty, else null."""
-    both = (a != "") & (b != "")
-    return scores(F.when(both, a), F.when(both, b))
 
+def with_scores(pairs: DataFrame, a: str, b: str, prefix: str, which: tuple[str, ...], guarded: bool = False) -> DataFrame:
+    """``pairs`` with columns prefix_score, computed once for each distinct pair of strings.
 
-def with_scores(pairs: DataFrame, a: str, b: str, prefix: str, which: tuple[str, ...]) -> DataFrame:
-    """``pairs`` with columns prefix_score, computed once for each distinct pair of strings."""
-    distinct = pairs.select(a, b).distinct().withColumn("_s", scores(F.col(a), F.col(b)))
-    named = distinct.select(F.col(a).alias("_a"), F.col(b).alias("_b"), *[F.col(f"_s.{s}").alias(f"{prefix}_{s}") for s in which])
+    ``guarded`` scores are null unless both strings are non-empty.
+    """
+    left, right = F.col(a), F.col(b)
+    if guarded:
+        both = (left != "") & (right != "")
+        left, right = F.when(both, left), F.when(both, right)
+    distinct = pairs.select(a, b).distinct().withColumn("_s", scores(left, right, which))
+    named = distinct.select(F.col(a).alias("_a"), F.col(b).alias("_b"), *[F.nanvl(F.col(f"_s.{s}"), F.lit(None).cast("double")).alias(f"{prefix}_{s}") for s in which])
     return pairs.join(named, F.col(a).eqNullSafe(F.col("_a")) & F.col(b).eqNullSafe(F.col("_b")), "left").drop("_a", "_b")

@@ -81,8 +81,9 @@ def name_fields(c: Column) -> Column:
     low = F.lower(romanized(c))
     bare = F.when(F.contains(low, F.lit(".")), F.regexp_replace(low, fixed.DOMAIN, "$1")).otherwise(low)
     words = F.transform(tokens(bare), lambda t: _mapped(t, fixed.LEGAL))
-    glued = (F.size(words) == 1) & (F.length(words[0]) >= 8) & words[0].endswith("com")
-    words = F.when(glued, F.array(F.substring(F.get(words, F.lit(0)), F.lit(1), F.length(F.get(words, F.lit(0))) - 3))).otherwise(words)
+    only = F.coalesce(F.get(words, F.lit(0)), F.lit(""))  # a name may have no word at all
+    glued = (F.size(words) == 1) & (F.length(only) >= 8) & only.endswith("com")
+    words = F.when(glued, F.array(F.substring(only, F.lit(1), F.length(only) - 3))).otherwise(words)
     core = F.filter(words, lambda t: ~t.isin(fixed.LEGAL_FORMS + fixed.NAME_FILLER))
     core = F.when(F.size(core) == 0, words).otherwise(core)
     return F.struct(

@@ -21,8 +21,9 @@ DIGITS = 6
 def key_pairs(s1: DataFrame, records: DataFrame, keys: list[str], most: int) -> DataFrame:
     """(rec, s1) with equal keys; keys shared by more than ``most`` entities are skipped."""
     k = ["country", *keys]
-    rare = s1.withColumn("_n", F.count("*").over(W.partitionBy(*k))).filter(F.col("_n") <= most)
-    return records.select(F.col("id").alias("rec"), *k).join(rare.select(F.col("id").alias("s1"), *k), k).select("rec", "s1")
+    few = s1.groupBy(*k).agg(F.count("*").alias("_n")).filter(F.col("_n") <= most).drop("_n")
+    rare = s1.select(F.col("id").alias("s1"), *k).join(few, k, "left_semi")
+    return records.select(F.col("id").alias("rec"), *k).join(rare, k).select("rec", "s1")
 
 
 def house_pairs(s1: DataFrame, records: DataFrame, most: int = 50) -> DataFrame:
@@ -31,9 +32,14 @@ def house_pairs(s1: DataFrame, records: DataFrame, most: int = 50) -> DataFrame:
     return key_pairs(s1.filter(full), records.filter(full), ["house", "first"], most)
 
 
+def _named(rows: DataFrame) -> list[str]:
+    """The columns that postings carry on: ``src`` where it is known."""
+    return ["id", "country", *(["src"] if "src" in rows.columns else [])]
+
+
 def postings(rows: DataFrame, words: Column) -> DataFrame:
-    """(id, country, token): the distinct tokens of each row."""
-    return rows.select("id", "country", F.explode(F.array_distinct(words)).alias("token"))
+    """(id, country, token), with src if ``rows`` has it: the distinct tokens of each row."""
+    return rows.select(*_named(rows), F.explode(F.array_distinct(words)).alias("token"))
 
 
 def grams(text: Column) -> Column:
@@ -44,22 +50,34 @@ def grams(text: Column) -> Column:
 
 
 def gram_counts(rows: DataFrame, text: Column) -> DataFrame:
-    """(id, country, token, tf)."""
-    return rows.select("id", "country", F.explode(grams(text)).alias("token")).groupBy("id", "country", "token").agg(F.count("*").alias("tf"))
+    """(id, country, token, tf), with src if ``rows`` has it."""
+    names = _named(rows)
+    return rows.select(*names, F.explode(grams(text)).alias("token")).groupBy(*names, "token").agg(F.count("*").alias("tf"))
 
 
 def idf(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(country, token, df, idf): smoothed inverse document frequency; ``sizes`` is (country, n) over all rows."""
-    df = counts.groupBy("country", "token").agg(F.count("*").alias("df"))
-    return df.join(F.broadcast(sizes), "country").select("country", "token", "df", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+    """(country, token, df, idf): smoothed inverse document frequency; ``sizes`` is (country, n) over all rows.
+
+    Where postings know their src, df1 counts the entities among them.
+    """
+    more = [F.sum((F.col("src") == 1).cast("long")).alias("df1")] if "src" in counts.columns else []
+    df = counts.groupBy("country", "token").agg(F.count("*").alias("df"), *more)
+    ratio = (F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))
+    return df.join(F.broadcast(sizes), "country").select("country", "token", "df", *df.columns[3:], (F.log(ratio) + 1.0).alias("idf"))
 
 
 def weights(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(id, country, token, w): TF-IDF rows of length one; a count ``tf`` weighs 1 + ln tf, without it every token weighs 1."""
+    """(id, country, token, w): TF-IDF rows of length one; a count ``tf`` weighs 1 + ln tf, without it every token weighs 1.
+
+    Where postings know their src, so do the weights, and df1 tells how many entities hold the token: what an index leaves
+    out is then known on both sides before anything is joined.
+    """
     tf = F.log(F.col("tf").cast("double")) + 1.0 if "tf" in counts.columns else F.lit(1.0)
-    raw = counts.join(idf(counts, sizes).select("country", "token", "idf"), ["country", "token"]).select("id", "country", "token", (tf * F.col("idf")).alias("_w"))
+    known = idf(counts, sizes).drop("df")
+    names = [*_named(counts), "token", *(["df1"] if "src" in counts.columns else [])]
+    raw = counts.join(known, ["country", "token"]).select(*names, (tf * F.col("idf")).alias("_w"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("country", "id")))
-    return raw.select("id", "country", "token", (F.col("_w") / length).alias("w"))
+    return raw.select(*names, (F.col("_w") / length).alias("w"))
 
 
 def country_sizes(rows: DataFrame) -> DataFrame:
@@ -68,7 +86,19 @@ def country_sizes(rows: DataFrame) -> DataFrame:
 
 def index_of(s1_weights: DataFrame, most: int) -> DataFrame:
     """An inverted index without tokens of more than ``most`` entities; weights keep their scale."""
-    return s1_weights.withColumn("_n", F.count("*").over(W.partitionBy("country", "token"))).filter(F.col("_n") <= most).drop("_n")
+    if "df1" in s1_weights.columns:
+        return s1_weights.filter(F.col("df1") <= most)
+    few = s1_weights.groupBy("country", "token").agg(F.count("*").alias("_n")).filter(F.col("_n") <= most).drop("_n")
+    return s1_weights.join(few, ["country", "token"], "left_semi")
+
+
+def index_scores(w: DataFrame, most: int | None) -> DataFrame:
+    """``token_scores`` of records against entities, from weights that know src and df1.
+
+    Tokens that no entity holds, or more than ``most``, leave both sides before the join.
+    """
+    held = w.filter(F.col("df1") > 0 if most is None else F.col("df1").between(1, most))
+    return token_scores(held.filter("src > 1"), held.filter("src = 1"))
 
 
 def token_scores(record_weights: DataFrame, index: DataFrame) -> DataFrame:
@@ -97,41 +127,58 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def dense_top_k(records: DataFrame, s1: DataFrame, k: int, block: int = 4096) -> DataFrame:
-    """(rec, s1, score, rank): exact top-k by inner product within the country.
+    """(rec, s1, score, rank): exact top-k by inner product of ``vector`` within the country.
 
-    The index goes through in blocks of about ``block`` vectors; each is broadcast and multiplied as a matrix, and only a
-    record's k best of a block leave the task.
+    Both sides are cut into blocks of about ``block`` rows a country, and every pair of blocks is multiplied as matrices by
+    a task of its own; only a record's k best of a block leave the task. A country that lacks either side gives nothing.
     """
     import numpy as np
     import pyarrow as pa
 
-    spark = records.sparkSession
-    n = -(-s1.count() // block)
-    found = []
-    for part in range(n):
-        by: dict[str, list] = {}
-        for i, country, v in s1.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == part).select("id", F.col("country").cast("string"), "vector").collect():
-            by.setdefault(country, []).append((i, v))
-        shared = spark.sparkContext.broadcast({c: (np.array([i for i, _ in sorted(x)]), np.array([v for _, v in sorted(x)], float)) for c, x in by.items()})
-
-        def run(batches, shared=shared):
-            for batch in batches:
-                out = [], [], []
-                countries = np.array(batch.column("country").to_pylist(), dtype=object)
-                for country in set(countries.tolist()) & set(shared.value):
-                    rows = np.flatnonzero(countries == country)
-                    ids, matrix = shared.value[country]
-                    queries = np.array(batch.column("vector").take(pa.array(rows)).to_pylist(), float)
-                    scores = np.round(queries @ matrix.T, DIGITS)
-                    order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-                    out[0].append(np.repeat(batch.column("id").take(pa.array(rows)).to_numpy(zero_copy_only=False), order.shape[1]))
-                    out[1].append(ids[order].ravel())
-                    out[2].append(np.take_along_axis(scores, order, 1).ravel())
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["rec", "s1", "score"])
-
-        found.append(records.select("id", F.col("country").cast("string"), "vector").mapInArrow(run, "rec long, s1 long, score double"))
-    return top_k(reduce(DataFrame.union, found), k, float("-inf"))
+    def blocked(rows: DataFrame, mine: str, other: DataFrame, theirs: str) -> DataFrame:
+        """Every row under its own block and each block of the other side."""
+        own, far = (country_sizes(x).select(F.col("country").cast("string").alias("country"), (F.floor((F.col("n") - 1) / block) + 1).alias(c)) for x, c in ((rows, "_own"), (other, "_far")))
+        # an id under its own name: both sides may come from one table
+        rows = rows.select(F.col("id").alias("id"), F.col("country").cast("string").alias("country"), F.col("vector").cast("array<double>").alias("vector"))
+        dealt = rows.join(F.broadcast(own.join(far, "country")), "country")  # a row a country
+        place = F.pmod(F.xxhash64("id"), F.col("_own")).alias(mine)
+        return dealt.select("id", "country", "vector", place, F.explode(F.sequence(F.lit(0), F.col("_far") - 1)).alias(theirs))
+
+    def multiplied(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if left.num_rows and right.num_rows:
+            a, b = (np.stack([v.as_py() for v in t.column("vector")]).astype(float) for t in (left, right))
+            ids = right.column("id").to_numpy()
+            scores = np.round(a @ b.T, DIGITS)
+            order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
+            found = [np.repeat(left.column("id").to_numpy(), order.shape[1]), ids[order].ravel(), np.take_along_axis(scores, order, 1).ravel()]
+        return pa.table(found, names=["rec", "s1", "score"])
+
+    key = ["country", "_a", "_b"]
+    sides = blocked(records, "_a", s1, "_b").groupBy(*key), blocked(s1, "_b", records, "_a").groupBy(*key)
+    return top_k(sides[0].cogroup(sides[1]).applyInArrow(multiplied, "rec long, s1 long, score double"), k, float("-inf"))
+
+
+def dense_views(records: DataFrame, s1: DataFrame, ks: dict[str, int], block: int = 4096) -> dict[str, DataFrame]:
+    """Views full, name and addr over rows (id, country, name_vector, addr_vector), each with its k; a k of 0 leaves it out.
+
+    ``full`` scores half the sum of both products, as one product of the joined vectors, and skips no record; ``name`` and
+    ``addr`` skip records whose field is empty, that is whose vector is zero.
+    """
+
+    def joined(rows: DataFrame, scale: float) -> DataFrame:
+        both = F.transform(F.concat("name_vector", "addr_vector"), lambda x: x.cast("double") * scale)
+        return rows.select("id", "country", both.alias("vector"))
+
+    out = {}
+    for view, k in ks.items():
+        if k and view == "full":
+            out[view] = dense_top_k(joined(records, 0.5), joined(s1, 1.0), k, block)
+        elif k:
+            column = f"{view}_vector"
+            asked = records.filter(F.exists(column, lambda x: x != 0))
+            out[view] = dense_top_k(*(rows.select("id", "country", F.col(column).alias("vector")) for rows in (asked, s1)), k, block)
+    return out
 
 
 def union_views(views: dict[str, DataFrame]) -> DataFrame:

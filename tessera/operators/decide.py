@@ -80,14 +80,20 @@ def blend(seen_runs: list[DataFrame], unseen_runs: list[DataFrame], pairs: DataF
     return out.withColumn("p", F.when(F.coalesce("_seen", F.lit(False)), F.col("_seen_p")).otherwise(F.col("_unseen_p"))).drop("_seen", "_seen_p", "_unseen_p")
 
 
-def overridden(base: DataFrame, other: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
+def differing(one: DataFrame, two: DataFrame) -> bool:
+    """Whether two tables of the same columns hold different rows, repeats counted."""
+    return not one.exceptAll(two).union(two.exceptAll(one)).isEmpty()
+
+
+def overridden(base: DataFrame, other: DataFrame, labels: DataFrame, known: DataFrame, candidates: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(s1, matches): rows of ``base`` for entities with a known label, rows of ``other`` for the rest.
 
-    Raises ValueError unless both cover the same entities.
+    Raises ValueError unless both cover the same entities and come from the same ``candidates`` (two tables of pairs).
     """
-    odd = base.select("s1").exceptAll(other.select("s1")).union(other.select("s1").exceptAll(base.select("s1")))
-    if not odd.isEmpty():
+    if differing(base.select("s1"), other.select("s1")):
         raise ValueError("the two outputs cover different entities")
+    if candidates and differing(*(c.select("rec", "s1") for c in candidates)):
+        raise ValueError("the two outputs come from different candidates")
     flag = labels.select("s1", "country").join(F.broadcast(known.select("country").distinct().withColumn("_seen", F.lit(True))), "country", "left").select("s1", F.coalesce("_seen", F.lit(False)).alias("_seen"))
     both = base.select("s1", F.col("matches").alias("_a")).join(other.select("s1", F.col("matches").alias("_b")), "s1").join(flag, "s1")
     return both.select("s1", F.when(F.col("_seen"), F.col("_a")).otherwise(F.col("_b")).alias("matches"))

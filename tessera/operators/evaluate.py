@@ -44,16 +44,26 @@ def retrieval_report(pairs: DataFrame, truth: DataFrame, entities: DataFrame) ->
 
 
 def prune_grid(pairs: DataFrame, truth: DataFrame, entities: DataFrame, tops: list[int], floors: list[float], p: str) -> DataFrame:
-    """(top_n, min_prob, pairs, recall): what a rank and a floor would keep, from one ranked table."""
+    """(top_n, min_prob, pairs, recall, oracle_f05): what a rank and a floor would keep, from one ranked table.
+
+    ``oracle_f05`` is the mean score over ``entities`` of a perfect decision on what is kept.
+    """
     from tessera.operators.groups import rank_of
 
     spark = pairs.sparkSession
     ranked = pairs.withColumn("_rank", rank_of("rec", p)).join(truth.select("rec", "s1").withColumn("_hit", F.lit(1)), ["rec", "s1"], "left")
     grid = F.broadcast(spark.createDataFrame([(t, f) for t in tops for f in floors], "top_n int, min_prob double"))
-    kept = ranked.crossJoin(grid).filter((F.col("_rank") < F.col("top_n")) & (F.col(p) >= F.col("min_prob")))
-    sums = kept.groupBy("top_n", "min_prob").agg(F.count("*").alias("pairs"), F.count("_hit").alias("_tp"))
-    total = truth.join(entities.select("s1"), "s1", "left_semi").agg(F.count("*").alias("_all"))
-    return grid.join(sums, ["top_n", "min_prob"], "left").crossJoin(F.broadcast(total)).select("top_n", "min_prob", F.coalesce("pairs", F.lit(0)).alias("pairs"), F.try_divide(F.coalesce("_tp", F.lit(0)), F.col("_all")).alias("recall"))
+    kept = ranked.select("s1", "_rank", "_hit", F.col(p).alias("_p")).crossJoin(grid).filter((F.col("_rank") < F.col("top_n")) & (F.col("_p") >= F.col("min_prob")))
+    each = kept.groupBy("top_n", "min_prob", "s1").agg(F.count("*").alias("n"), F.count("_hit").alias("tp"))
+    real = entities.select("s1").join(truth.groupBy("s1").agg(F.count("*").alias("n_true")), "s1", "left").na.fill(0, ["n_true"])
+    scored = each.join(real, "s1", "left")
+    known = F.col("n_true").isNotNull()
+    gain = F.when(known & (F.col("n_true") > 0), f05(F.col("tp"), F.col("tp"), F.col("n_true")))
+    sums = scored.groupBy("top_n", "min_prob").agg(F.sum("n").alias("pairs"), F.sum(F.when(known, F.col("tp"))).alias("_tp"), F.sum(gain).alias("_gain"))
+    total = real.agg(F.sum("n_true").alias("_true"), F.count("*").alias("_all"), F.sum((F.col("n_true") == 0).cast("int")).alias("_empty"))
+    out = grid.join(sums, ["top_n", "min_prob"], "left").crossJoin(F.broadcast(total))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return out.select("top_n", "min_prob", zero("pairs").alias("pairs"), F.try_divide(zero("_tp"), F.col("_true")).alias("recall"), F.try_divide(zero("_gain") + F.col("_empty"), F.col("_all")).alias("oracle_f05"))
 
 
 def violations(matches: DataFrame, candidates: DataFrame, entities: DataFrame, records: DataFrame) -> DataFrame:

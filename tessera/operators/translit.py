@@ -53,3 +53,34 @@ def applied(rows: DataFrame, column: str, learned: DataFrame, most: int = 200_00
     spelled = F.when(text.is_ascii(F.col("word")), F.col("word")).otherwise(F.coalesce("target", text.romanized(F.col("word"))))
     lists = out.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", spelled.alias("w")))).alias("ws"))
     return rows.select("id").join(lists, "id", "left").select("id", F.coalesce(F.array_join(F.transform("ws", lambda x: x["w"]), " "), F.lit("")).alias("spelled"))
+
+
+def applied_components(rows: DataFrame, column: str, learned: DataFrame, most: int = 200_000) -> DataFrame:
+    """``rows`` (id, column) with (id, spelled): address components with marks replaced as a whole where one was learned."""
+    parts = rows.select("id", F.posexplode(F.split(column, ",")).alias("pos", "part"))
+    parts = parts.withColumn("_key", F.when(~text.is_ascii(F.col("part")), F.array_join(text.tokens(F.col("part")), " ")))
+    side = learned.select(F.col("component").alias("_key"), "target")
+    side = F.broadcast(side) if side.count() <= most else side
+    out = parts.join(side, "_key", "left").withColumn("w", F.trim(F.coalesce("target", "part")))
+    lists = out.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("ws"))
+    return rows.select("id").join(lists, "id", "left").select("id", F.coalesce(F.array_join(F.transform("ws", lambda x: x["w"]), ", "), F.lit("")).alias("spelled"))
+
+
+def learned_maps(raw: DataFrame, truth: DataFrame, least: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(token map, component map) from the raw records of matched pairs (rec, s1)."""
+    sides = raw.select("id", "name_raw", "addr_raw")
+    pairs = truth.join(sides.toDF("s1", "s1_name", "s1_addr"), "s1").join(sides.toDF("rec", "rec_name", "rec_addr"), "rec")
+    return token_map(pairs, least), component_map(pairs, least)
+
+
+def spelled(raw: DataFrame, tokens: DataFrame, components: DataFrame) -> DataFrame:
+    """``raw`` records in Latin letters, with ``non_latin`` for names that were not: whole components of addresses first,
+    then word by word, what was learned before what the letters say. Records in plain letters pass as they are."""
+    marked = raw.withColumn("non_latin", ~text.is_ascii(F.col("name_raw")))
+    plain = text.is_ascii(F.concat("name_raw", "addr_raw"))
+    others = marked.filter(~plain)
+    names = applied(others.select("id", "name_raw"), "name_raw", tokens).withColumnRenamed("spelled", "_name")
+    whole = applied_components(others.select("id", "addr_raw"), "addr_raw", components)
+    addresses = applied(whole, "spelled", tokens).withColumnRenamed("spelled", "_addr")
+    out = others.join(names, "id").join(addresses, "id").withColumns({"name_raw": F.col("_name"), "addr_raw": F.col("_addr")})
+    return marked.filter(plain).unionByName(out.select(marked.columns))

@@ -5,7 +5,7 @@ Every table here has an SQL twin of the same name: a list of common table expres
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, text
@@ -17,12 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def source_number() -> Column:
+    """1 for entities, 2 and 3 for the sources of records, from the name of a document's source."""
+    n = F.substring("source", 4, 9).cast("int")
+    return F.when(n < 8, 1).when(n < 14, 2).otherwise(3)
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, country, src, name_raw, addr_raw): words 1-4 of a document are its name, 5-10 its address."""
+    """(id, country, src, name_raw, addr_raw), a business record for each document.
+
+    The tables hold no business records. What stands in for a record's fields are words 1-4 of a document (its name) and
+    words 5-10 (its address); the rest of the text belongs to no field. Queries over whole texts read the documents
+    themselves (``q_tokens``, ``q_accent_fold``, ``q_token_idf``, ``q_flagship``).
+    """
     words = F.split(F.coalesce("text", F.lit("")), "[ \t\n\r]+")
-    n = F.substring("source", 4, 9).cast("int")
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.col("lang").alias("country"), F.when(n < 8, 1).when(n < 14, 2).otherwise(3).alias("src"),
+        F.col("doc_id").alias("id"), F.col("lang").alias("country"), source_number().alias("src"),
         F.array_join(F.slice(words, 1, 4), " ").alias("name_raw"), F.array_join(F.slice(words, 5, 6), " ").alias("addr_raw"),
     )
 
@@ -90,6 +100,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
 
 
+def field_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Index and queries with a vector for each field: the halves of an embedding; some fields are empty, hence zero."""
+    n = F.col("vec_id")
+    empty = F.transform(F.sequence(F.lit(1), F.lit(32)), lambda _: F.lit(0.0))
+    half = lambda at, gone: F.when(gone, empty).otherwise(F.transform(F.slice("embedding", at, 32), lambda x: x.cast("double")))
+    rows = table(spark, sf_dir, "embeddings").select(n.alias("id"), F.col("label").cast("string").alias("country"), half(1, n % 11 == 5).alias("name_vector"), half(33, n % 13 == 7).alias("addr_vector"))
+    return rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
+
+
 # ---- the same in SQL
 
 
@@ -183,6 +202,13 @@ pairs AS (
     SELECT l_orderkey AS rec, arg_min(l_suppkey, {_ORDER_SQL}) AS s1 FROM lineitem GROUP BY l_orderkey HAVING arg_min(l_returnflag, {_ORDER_SQL}) <> 'R'
 ), entities AS (SELECT s_suppkey AS s1, 'c' || (s_suppkey % 3) AS country FROM supplier)"""
 
+_HALF_SQL = "CASE WHEN {gone} THEN list_transform(range(32), lambda x: CAST(0 AS DOUBLE)) ELSE CAST(embedding[{a}:{b}] AS DOUBLE[]) END"
+FIELD_VECTORS_SQL = f"""
+field_vectors AS (
+    SELECT vec_id AS id, label AS country, {_HALF_SQL.format(gone="vec_id % 11 = 5", a=1, b=32)} AS n, {_HALF_SQL.format(gone="vec_id % 13 = 7", a=33, b=64)} AS a,
+           vec_id % 11 <> 5 AS has_name, vec_id % 13 <> 7 AS has_addr FROM embeddings
+)"""
+
 PARTS_SQL = """
 parts AS (
     SELECT p_partkey AS id, p_type AS country, lower(p_name) AS name_core, string_split(lower(p_name), ' ')[1] AS first, CAST(p_size AS VARCHAR) AS house FROM part

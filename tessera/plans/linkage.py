@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import similarity, text
-from tessera.operators import blocking, decide, evaluate, groups, learn, lookalike
+from tessera.functions import text
+from tessera.operators import blocking, decide, evaluate, features, groups, learn, lookalike, translit
 from tessera.sources import tables
 
 
@@ -26,8 +26,10 @@ class Settings:
     key_entities: int = 20
     house_entities: int = 50
     token_entities: int = 2000
+    gram_k: int = 30
     full_k: int = 10
     field_k: int = 5
+    stage1_share: float = 0.05
     least_score: float = 0.02
     prune_top: int = 8
     prune_least: float = 0.001
@@ -35,129 +37,135 @@ class Settings:
     rounds: int = 20
     sibling_least: float = 0.8
     context_least: float = 0.9
+    model: str = "A"
+    least_spellings: int = 5
     thresholds: tuple[float, ...] = (0.4, 0.5, 0.6, 0.7)
     margins: tuple[float, ...] = (0.0, 0.2, 0.5)
 
 
 def normalised(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, country, src, name_raw, addr_raw) with all normalised fields."""
+    """``rows`` (id, country, src, name_raw, addr_raw) with all normalised fields; ``non_latin`` tells of names respelled before."""
     rows = rows.withColumns({"_n": text.name_fields(F.col("name_raw")), "_t": text.address_tokens(F.col("addr_raw"))})
-    rows = rows.withColumn("_a", text.address_fields(F.col("_t"))).select("id", "country", "src", "_n.*", "_a.*")
+    before = [F.col("non_latin").alias("_respelled")] if "non_latin" in rows.columns else []
+    rows = rows.withColumn("_a", text.address_fields(F.col("_t"))).select("id", "country", "src", *before, "_n.*", "_a.*")
+    if before:
+        rows = rows.withColumn("name_non_latin", F.col("name_non_latin") | F.col("_respelled")).drop("_respelled")
     return rows.withColumns({"legal": text.legal_of(F.col("name_n")), "first": text.first_of(F.col("name_core")), "state": text.state_set(F.col("addr_n"))})
 
 
 def candidates(records: DataFrame, s: Settings) -> DataFrame:
-    """(country, rec, s1, views, tcos_name, tcos_addr): the union of all views with exact cosines."""
+    """(country, rec, s1, ord, views, cos_name, cos_addr, tcos_name, tcos_addr): the union of all views with exact cosines."""
     ones, recs = records.filter("src = 1"), records.filter("src > 1")
     sizes = blocking.country_sizes(records)
-    scores, cosines = {}, {}
-    for tag, field in (("tname", "name_n"), ("taddr", "addr_n")):
+    by_word, by_gram = {}, {}
+    for tag, field in (("name", "name_n"), ("addr", "addr_n")):
         words = F.filter(F.split(field, " "), lambda t: t != "")
-        w = blocking.weights(blocking.postings(records, words), sizes)
-        sides = w.join(recs.select("id"), "id", "left_semi"), w.join(ones.select("id"), "id", "left_semi")
-        scores[tag] = blocking.token_scores(sides[0], blocking.index_of(sides[1], s.token_entities))
-        cosines[tag] = sides
-    full = scores["tname"].union(scores["taddr"]).groupBy("country", "rec", "s1").agg(F.round(F.sum("score"), blocking.DIGITS).alias("score"))
+        by_word[tag] = blocking.weights(blocking.postings(records, words), sizes)
+        by_gram[tag] = blocking.weights(blocking.gram_counts(records, F.col(field)), sizes)
+    words = {tag: blocking.index_scores(w, s.token_entities) for tag, w in by_word.items()}
+    grams = {tag: blocking.index_scores(w, None) for tag, w in by_gram.items()}
+
+    def summed(scores: dict[str, DataFrame], factor: float) -> DataFrame:
+        both = scores["name"].union(scores["addr"]).groupBy("country", "rec", "s1")
+        return both.agg(F.round(F.sum("score") * factor, blocking.DIGITS).alias("score"))
+
     views = {
-        "key": blocking.key_pairs(ones, recs, ["name_core"], s.key_entities), "hkey": blocking.house_pairs(ones, recs, s.house_entities),
-        "tfull": blocking.top_k(full, s.full_k, s.least_score), **{t: blocking.top_k(scores[t], s.field_k, s.least_score) for t in scores},
+        "full": blocking.top_k(summed(grams, 0.5), s.gram_k), "key": blocking.key_pairs(ones, recs, ["name_core"], s.key_entities),
+        "hkey": blocking.house_pairs(ones, recs, s.house_entities), "tfull": blocking.top_k(summed(words, 1.0), s.full_k, s.least_score),
+        "tname": blocking.top_k(words["name"], s.field_k, s.least_score), "taddr": blocking.top_k(words["addr"], s.field_k, s.least_score),
     }
     pairs = blocking.union_views(views).join(ones.select(F.col("id").alias("s1"), "country"), "s1")
-    for tag, name in (("tname", "tcos_name"), ("taddr", "tcos_addr")):
-        pairs = blocking.pair_token_cosines(pairs, *cosines[tag]).withColumnRenamed("cos", name)
-    return pairs.withColumn("ord", F.col("s1"))
-
-
-VIEW_COLUMNS = ["key", "hkey", "tfull", "tname", "taddr"]
-STAGE1 = ["tcos_name", "tcos_addr", *[f"v_{v}" for v in VIEW_COLUMNS], "rec_n_cands", "s1_n_cands", "rec_tok_rank", "rec_tok_gap", "s1_tok_rank", "s1_tok_gap"]
-
-
-def described(pairs: DataFrame) -> DataFrame:
-    """Candidates with the columns of the first model."""
-    pairs = pairs.withColumn("tok", F.col("tcos_name") + F.col("tcos_addr")).withColumns({f"v_{v}": blocking.has_view(v).cast("int") for v in VIEW_COLUMNS})
-    return groups.competition(pairs, ("tok",), "tok")
-
-
-def pair_features(pairs: DataFrame, records: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Pruned pairs with string, agreement, frequency, sibling, ambiguity and look-alike columns, and their names."""
-    ones, recs = records.filter("src = 1"), records.filter("src > 1")
-    fields = ["name_n", "name_core", "name_ns", "addr_n", "house", "state", "postal", "legal", "first"]
-    a = records.select(F.col("id").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in fields])
-    b = records.select(F.col("id").alias("rec"), *[F.col(c).alias(f"b_{c}") for c in fields], "is_domain", "name_non_latin", "addr_empty", "src")
-    out = pairs.join(a, "s1").join(b, "rec")
-    names = [*STAGE1, "p1"]
-    for tag, field, which in (("n", "name_n", similarity.SCORES), ("c", "name_core", ("ratio", "token_set", "jaro_winkler")), ("ns", "name_ns", ("ratio", "partial")), ("a", "addr_n", similarity.SCORES[:4])):
-        out = similarity.with_scores(out, f"a_{field}", f"b_{field}", tag, which)
-        names += [f"{tag}_{x}" for x in which]
-    out = out.withColumns({f"{c}_eq": text.equal_or_null(F.col(f"a_{c}"), F.col(f"b_{c}")) for c in fields[4:]})
-    out = out.withColumns({c: F.col(c).cast("int") for c in ("is_domain", "name_non_latin", "addr_empty")})
-    names += [f"{c}_eq" for c in fields[4:]] + ["is_domain", "name_non_latin", "addr_empty", "src"]
-    freq = groups.name_frequency(ones, records)
-    out = out.join(freq.select(F.col("id").alias("s1"), F.col("freq").alias("s1_name_freq")), "s1").join(freq.select(F.col("id").alias("rec"), F.col("freq").alias("rec_name_s1_freq")), "rec")
-    out = groups.ambiguity(out, "c_ratio")
-    stats = lookalike.token_stats(ones, recs)
-    out = lookalike.pair_features(out.withColumnsRenamed({"a_name_n": "s1_name", "b_name_n": "rec_name"}), stats)
-    names += ["s1_name_freq", "rec_name_s1_freq", "rec_rank_cname", "rec_gap_cname", "rec_n_same_name", *lookalike.COLUMNS]
-    out = groups.relative_counts(out)
-    return out, [*names, "s1_n_cands_rel"]
-
-
-def siblings(pairs: DataFrame, records: DataFrame, p: str, least: float, prefix: str) -> DataFrame:
-    """(rec, s1) with the best similarity to other records of the entity and their number."""
-    near = groups.sibling_pairs(pairs, p, least)
-    fields = records.select("id", "name_n", "name_ns", "addr_n")
-    both = near.join(fields.select(F.col("id").alias("rec"), *[F.col(c).alias(f"a_{c}") for c in fields.columns[1:]]), "rec")
-    both = both.join(fields.select(F.col("id").alias("sib"), *[F.col(c).alias(f"b_{c}") for c in fields.columns[1:]]), "sib")
-    for tag, field, which in (("name", "name_n", "token_set"), ("ns", "name_ns", "ratio"), ("addr", "addr_n", "token_set")):
-        both = similarity.with_scores(both, f"a_{field}", f"b_{field}", tag, (which,)).withColumnRenamed(f"{tag}_{which}", f"{prefix}_{tag}")
-    best = both.groupBy("rec", "s1").agg(*[F.max(f"{prefix}_{t}").alias(f"{prefix}_{t}") for t in ("name", "ns", "addr")], F.count("*").alias(f"n_{prefix}"))
-    return pairs.select("rec", "s1").join(best, ["rec", "s1"], "left").na.fill(0, [f"n_{prefix}"])
+    for prefix, by in (("cos", by_gram), ("tcos", by_word)):
+        for tag, w in by.items():
+            pairs = blocking.pair_token_cosines(pairs, w.filter("src > 1"), w.filter("src = 1")).withColumnRenamed("cos", f"{prefix}_{tag}")
+    return pairs.select("country", "rec", "s1", F.col("s1").alias("ord"), "views", *features.COSINES)
 
 
 def labelled(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     return pairs.join(truth.select("rec", "s1").withColumn("_hit", F.lit(1.0)), ["rec", "s1"], "left").withColumn("label", F.coalesce("_hit", F.lit(0.0))).drop("_hit")
 
 
-def run(raw: DataFrame, truth: DataFrame, out: str, settings: Settings | None = None, force: bool = False) -> dict[str, DataFrame]:
-    """All stages over ``raw`` records and ``truth`` (rec, s1); the tables by stage."""
-    s, spark = settings or Settings(), raw.sparkSession
-
-    def stage(name: str, build) -> DataFrame:
-        return tables.cached(spark, f"{out}/{name}", build, force)
-
-    records = stage("records", lambda: normalised(raw))
-    cands = stage("candidates", lambda: described(candidates(records, s)))
-    first = stage("stage1", lambda: learn.out_of_fold(labelled(cands, truth), STAGE1, s.folds, rounds=s.rounds)[0].withColumnRenamed("p", "p1"))
-    kept = stage("pruned", lambda: groups.pruned(first, "p1", s.prune_top, s.prune_least))
-    names: list[str] = []
-
-    def features() -> DataFrame:
-        table, found = pair_features(kept.drop("label"), records)
-        names.extend(found)
-        return table.select("rec", "s1", "country", "ord", *dict.fromkeys(found)).join(siblings(kept, records, "p1", s.sibling_least, "sib"), ["rec", "s1"])
-
-    feats = stage("features", features)
-    columns = [c for c in feats.columns if c not in ("rec", "s1", "country", "ord")]
-    second = stage("stage2", lambda: learn.out_of_fold(labelled(feats, truth), columns, s.folds, rounds=s.rounds)[0].select("rec", "s1", "country", "ord", "src", F.col("p").alias("p2")))
-
-    def context() -> DataFrame:
-        around = groups.context(second.withColumn("p2", F.col("p2").cast("double")), "p2").drop("country", "ord", "src")
-        return around.join(siblings(second, records, "p2", s.context_least, "p2sib"), ["rec", "s1"])
-
-    around = stage("context", context)
-    more = columns + [c for c in around.columns if c not in ("rec", "s1")]
-    third = stage("stage3", lambda: learn.out_of_fold(labelled(feats.join(around, ["rec", "s1"]), truth), more, s.folds, rounds=s.rounds)[0].select("rec", "s1", "country", "ord", F.col("p").cast("double").alias("p")))
-    ones = records.filter("src = 1").select(F.col("id").alias("s1"), "country")
-    counts = ones.join(truth.groupBy("s1").agg(F.count("*").alias("n_true")), "s1", "left").select("s1", F.coalesce("n_true", F.lit(0)).alias("n_true"))
-    grid = stage("decision_grid", lambda: decide.tune(third, truth, counts, list(s.thresholds), list(s.margins)))
+#: What joins the 83 columns of a pair in its second and third stage.
+MORE = [*lookalike.COLUMNS, *features.RELATIVE]
+
+
+class Run:
+    """The stages of one split below ``out``; models and the decision come from the training split."""
+
+    def __init__(self, raw: DataFrame, out: str, settings: Settings, force: bool, maps: tuple[DataFrame, DataFrame], truth: DataFrame | None = None, trained: Run | None = None) -> None:
+        self.spark, self.out, self.s, self.force, self.truth = raw.sparkSession, out, settings, force, truth
+        self.models = trained.models if trained else f"{out}/models"
+        self.learned = trained is not None
+        self.records = self.stage("records", lambda: normalised(translit.spelled(raw, *maps)))
+        self.ones = self.records.filter("src = 1").select(F.col("id").alias("s1"), "country")
+        self.candidates = self.stage("candidates", lambda: candidates(self.records, self.s))
+        self.described = self.stage("described", lambda: features.first_stage(self.candidates, self.records))
+        first = self.scored("stage1", self.described, features.STAGE1, "p1", self.s.stage1_share)
+        self.pruned = self.stage("pruned", lambda: groups.pruned(first, "p1", self.s.prune_top, self.s.prune_least).select(*self.candidates.columns, F.col("p1").cast("double").alias("p1")))
+        columns = [*features.BASE, *MORE]
+        self.features = self.stage("features", lambda: features.base(self.pruned, self.records, self.s.sibling_least).join(features.looks(self.pruned, self.records), ["rec", "s1"]))
+        second = self.scored("stage2", self.features, columns, "p2")
+        around = self.stage("context", lambda: self._context(second))
+        more = features.chosen(columns, tuple(features.CONTEXT), features.DROPS[self.s.model])
+        self.pairs = self.scored("stage3", self.features.join(around, ["rec", "s1"]), more, "p").select("rec", "s1", "country", "ord", F.col("p").cast("double").alias("p"))
+
+    def stage(self, name: str, build) -> DataFrame:
+        return tables.cached(self.spark, f"{self.out}/{name}", build, self.force)
+
+    def _context(self, second: DataFrame) -> DataFrame:
+        rows = second.select("rec", "s1", "ord", F.col("r_src").alias("src"), F.col("p2").cast("double").alias("p2"))
+        return features.context(rows, self.records, self.s.context_least)
+
+    def scored(self, name: str, rows: DataFrame, columns: list[str], p: str, share: float = 0.8) -> DataFrame:
+        """``rows`` with ``p``: out of fold where there is truth; else by the training split's models, the first stage by one of
+        all folds and the others by the mean of the folds'."""
+        s, path = self.s, f"{self.models}/{name}"
+
+        def build() -> DataFrame:
+            if self.learned:
+                models = learn.load_models(f"{path}/whole", 1) if name == "stage1" else learn.load_models(f"{path}/folds", s.folds)
+                return learn.fold_mean(models, rows, columns).withColumnRenamed("p", p)
+            data = labelled(rows, self.truth)
+            out, models = learn.out_of_fold(data, columns, s.folds, train=share, valid=share / 4, rounds=s.rounds)
+            learn.save_models(models, f"{path}/folds")
+            if name == "stage1":
+                learn.save_models([learn.whole_model(data, columns, s.folds, train=share, valid=share / 4, rounds=s.rounds)], f"{path}/whole")
+            return out.drop("label").withColumnRenamed("p", p)
+
+        return self.stage(name, build)
+
+    def decided(self, threshold: float, margin: float, force: bool = False) -> dict[str, DataFrame]:
+        """Matches and lists from the saved probabilities; ``force`` decides again where there was a decision."""
+        found = tables.cached(self.spark, f"{self.out}/matches", lambda: decide.select(self.pairs, threshold, margin).select("rec", "s1", "country", "p"), self.force or force)
+        lists = tables.cached(self.spark, f"{self.out}/lists", lambda: tables.id_lists(found, self.ones), self.force or force)
+        broken = evaluate.violations(found, self.candidates, self.ones, self.records.filter("src > 1").select(F.col("id").alias("rec"))).filter("n > 0")
+        if not broken.isEmpty():
+            raise ValueError(f"the matches break rules: {[tuple(r) for r in broken.collect()]}")
+        return {"matches": found, "lists": lists}
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {"records": self.records, "candidates": self.candidates, "pruned": self.pruned, "features": self.features, "stage3": self.pairs}
+
+
+def run(raw: DataFrame, truth: DataFrame, out: str, settings: Settings | None = None, force: bool = False, test: DataFrame | None = None, threshold: float | None = None, margin: float | None = None) -> dict[str, DataFrame]:
+    """All stages over ``raw`` records and ``truth`` (rec, s1), and over the records of a ``test`` split; the tables by stage.
+
+    A ``threshold`` or ``margin`` takes the place of the tuned one: matches are decided anew from the saved probabilities.
+    """
+    s = settings or Settings()
+    maps = tuple(tables.cached(raw.sparkSession, f"{out}/{name}", lambda m=m: m, force) for name, m in zip(("token_map", "component_map"), translit.learned_maps(raw, truth, s.least_spellings)))
+    train = Run(raw, out, s, force, maps, truth)
+    counts = train.ones.join(truth.groupBy("s1").agg(F.count("*").alias("n_true")), "s1", "left").select("s1", F.coalesce("n_true", F.lit(0)).alias("n_true"))
+    grid = train.stage("decision_grid", lambda: decide.tune(train.pairs, truth, counts, list(s.thresholds), list(s.margins)))
     best = grid.orderBy(F.desc("f05"), "threshold", "margin").first()
-    matches = stage("matches", lambda: decide.select(third, best["threshold"], best["margin"]).select("rec", "s1", "country", "p"))
-    lists = stage("lists", lambda: tables.id_lists(matches, ones))
-    report = stage("report", lambda: evaluate.macro_f05(matches.select("rec", "s1"), truth, ones))
-    broken = evaluate.violations(matches, cands, ones, records.filter("src > 1").select(F.col("id").alias("rec"))).filter("n > 0")
-    if not broken.isEmpty():
-        raise ValueError(f"the matches break rules: {[tuple(r) for r in broken.collect()]}")
-    return {"records": records, "candidates": cands, "pruned": kept, "features": feats, "stage3": third, "decision_grid": grid, "matches": matches, "lists": lists, "report": report}
+    limits = (best["threshold"] if threshold is None else threshold, best["margin"] if margin is None else margin)
+    again = threshold is not None or margin is not None
+    found = train.tables() | train.decided(*limits, again) | {"decision_grid": grid}
+    found["report"] = tables.cached(raw.sparkSession, f"{out}/report", lambda: evaluate.macro_f05(found["matches"].select("rec", "s1"), truth, train.ones), force or again)
+    if test is not None:
+        other = Run(test, f"{out}/test", s, force, maps, trained=train)
+        found |= {f"test_{k}": v for k, v in (other.tables() | other.decided(*limits, again)).items()}
+    return found
 
 
 def read_split(spark: SparkSession, folder: str, split: str) -> DataFrame:
@@ -173,14 +181,23 @@ def main() -> None:
     args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     args.add_argument("--sources", required=True)
     args.add_argument("--split", default="train")
+    args.add_argument("--test", help="a split to be predicted with the models of the first")
     args.add_argument("--out", required=True)
+    args.add_argument("--threshold", type=float, help="instead of the tuned one; saved probabilities are decided anew")
+    args.add_argument("--margin", type=float, help="instead of the tuned one")
+    args.add_argument("--log", help="a CSV file on the driver to which the run's score is appended")
     args.add_argument("--force", action="store_true")
     given = args.parse_args()
     spark = SparkSession.builder.appName("linkage").getOrCreate()
     truth = tables.truth_pairs(tables.read_tsv(spark, f"{given.sources}/{given.split}_ground_truth.tsv", tables.TRUTH_COLUMNS))
-    found = run(read_split(spark, given.sources, given.split), truth, given.out, force=given.force)
+    test = read_split(spark, given.sources, given.test) if given.test else None
+    found = run(read_split(spark, given.sources, given.split), truth, given.out, force=given.force, test=test, threshold=given.threshold, margin=given.margin)
     tables.write_lists(found["lists"], f"{given.out}/matching_results", "s1")
+    if test is not None:
+        tables.write_lists(found["test_lists"], f"{given.out}/test/matching_results", "s1")
     found["report"].show()
+    if given.log:
+        tables.log_run(given.log, {"out": given.out, "matches": found["matches"].count(), **found["report"].first().asDict()})
 
 
 if __name__ == "__main__":

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import decide, evaluate, groups, learn
+from tessera.operators import analysis, decide, evaluate, groups, learn
 from tessera.plans import bindings as B
 from tessera.sources import tables
+from tessera.sources.shared import written
 
 THRESHOLDS, MARGINS = [0.2, 0.4, 0.6, 0.8], [0.0, 0.2, 0.4]
 KNOWN = ["c0", "c1"]
@@ -199,7 +200,7 @@ def q_retrieval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_prune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = evaluate.prune_grid(B.scored_pairs(spark, sf_dir), B.pair_truth(spark, sf_dir), B.entities(spark, sf_dir), [1, 2, 3, 5], [0.05, 0.3], "p")
-    return out.withColumn("recall", _r("recall"))
+    return out.withColumns({c: _r(c) for c in ("recall", "oracle_f05")})
 
 
 def q_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +267,41 @@ def q_decision_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.join(two, "rec").groupBy("country").agg(F.count("*").alias("records"), F.sum((F.col("s1") == F.col("_other")).cast("int")).alias("same"))
 
 
+def _odd_score() -> Column:
+    """The pattern that stands in for a rule's."""
+    return F.col("tok") > F.col("full")
+
+
+def q_filter_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = analysis.filter_effect(_select(spark, sf_dir), _odd_score(), B.pair_truth(spark, sf_dir), B.entities(spark, sf_dir))
+    return out.select("accepted", "flagged", *[_r(c).alias(c) for c in out.columns[2:]])
+
+
+def q_rule_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = _select(spark, sf_dir).groupBy("country", "s1").agg(F.sum(_odd_score().cast("long")).alias("pattern"), F.sum((~_odd_score()).cast("long")).alias("others"))
+    return analysis.change_of_rule(each, [0.5, 0.7, 0.9, 0.97], 1000).withColumn("change", _r("change"))
+
+
+def q_pattern_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with even keys stand in for the training split; every supplier belongs to both."""
+    split = F.when(F.col("rec") % 2 == 0, "train").otherwise("test")
+    entities = B.entities(spark, sf_dir).withColumn("split", F.explode(F.array(F.lit("train"), F.lit("test"))))
+    patterns = {"odd": _odd_score(), "first": F.col("ord") == 1}
+    out = analysis.pattern_density(B.scored_pairs(spark, sf_dir).withColumn("split", split), entities, patterns, [0.5, 0.9])
+    return out.select("split", "country", "cut", *[_r(c).alias(c) for c in out.columns[3:]])
+
+
+def q_decision_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = decide.select(B.scored_pairs(spark, sf_dir), 0.3, 0.2, "full")
+    return analysis.decision_changes(_select(spark, sf_dir), new, {"odd": _odd_score(), "first": F.col("ord") == 1})
+
+
+def q_redecide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved probabilities under limits of their own."""
+    saved = written(B.scored_pairs(spark, sf_dir).select("rec", "s1", "ord", "p"), "probabilities")
+    return decide.select(saved, 0.8, 0.3).select("rec", "s1", "p")
+
+
 # ---- learning
 
 
@@ -301,6 +337,14 @@ def q_leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.leave_one_out(_named(spark, sf_dir), _NAMED, "country", kind="logistic", rounds=10).select("rec", "s1", "country", "p")
 
 
+def q_leave_one_out_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _named(spark, sf_dir)
+    scored = learn.leave_one_out(rows, _NAMED, "country", kind="logistic", rounds=10).withColumn("p", F.col("p").cast("double"))
+    counts = _n_true(spark, sf_dir).join(B.entities(spark, sf_dir), "s1")
+    out = analysis.label_report(written(scored.select("rec", "s1", "country", "ord", "p"), "left_out"), B.pair_truth(spark, sf_dir), counts, THRESHOLDS, MARGINS)
+    return out.withColumn("f05", _r("f05"))
+
+
 def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = learn.out_of_fold(_named(spark, sf_dir), _NAMED, rounds=5)[1]
     return spark.createDataFrame(learn.importances(models, _NAMED), "feature string, importance double")
@@ -385,7 +429,31 @@ SQL = {
     "q_retrieval_report": f"""{_P}, {_PRUNED}, {_NTRUE}, f AS (SELECT v.s1, count(*) AS n, count(t.rec) AS tp FROM pruned v LEFT JOIN pair_truth t USING (rec, s1) GROUP BY v.s1), e AS (SELECT coalesce(n, 0) AS n, coalesce(tp, 0) AS tp, coalesce(tp, 0) AS n_pred, n_true FROM n_true LEFT JOIN f USING (s1))
         SELECT CAST(sum(n) AS BIGINT) AS pairs, round(sum(tp) / sum(n_true), 6) AS recall, round(avg({_F05}), 6) AS oracle_f05, round(avg(n), 6) AS mean_candidates, round(quantile_cont(n, 0.99), 6) AS p99_candidates, round(avg(CASE WHEN n = 0 THEN 1 ELSE 0 END), 6) AS without FROM e""",
     "q_prune_grid": f"""{_P}, r AS (SELECT p.rec, p.s1, p.p, t.rec IS NOT NULL AS hit, row_number() OVER (PARTITION BY p.rec ORDER BY p.p DESC, ord, p.s1) AS k FROM pairs p LEFT JOIN pair_truth t ON t.rec = p.rec AND t.s1 = p.s1)
-        SELECT CAST(n AS INTEGER) AS top_n, CAST(f AS DOUBLE) AS min_prob, count(r.rec) AS pairs, round(count(r.rec) FILTER (hit) / (SELECT count(*) FROM pair_truth), 6) AS recall FROM (VALUES (1), (2), (3), (5)) a(n) CROSS JOIN (VALUES (0.05), (0.3)) b(f) LEFT JOIN r ON k <= n AND p >= f GROUP BY n, f""",
+        , {_NTRUE}, g AS (SELECT CAST(n AS INTEGER) AS top_n, CAST(f AS DOUBLE) AS min_prob FROM (VALUES (1), (2), (3), (5)) a(n) CROSS JOIN (VALUES (0.05), (0.3)) b(f)),
+        kept AS (SELECT top_n, min_prob, s1, count(*) AS n, count(*) FILTER (hit) AS tp FROM g JOIN r ON k <= top_n AND p >= min_prob GROUP BY ALL),
+        each AS (SELECT g.top_n, g.min_prob, n_true, coalesce(n, 0) AS n, coalesce(tp, 0) AS tp, coalesce(tp, 0) AS n_pred FROM g CROSS JOIN n_true t LEFT JOIN kept k ON k.top_n = g.top_n AND k.min_prob = g.min_prob AND k.s1 = t.s1)
+        SELECT top_n, min_prob, CAST(sum(n) AS BIGINT) AS pairs, round(sum(tp) / sum(n_true), 6) AS recall, round(avg({_F05}), 6) AS oracle_f05 FROM each GROUP BY ALL""",
+    "q_filter_effect": f"""{_P}, {_SCORES}, l AS (SELECT s.*, t.rec IS NOT NULL AS hit, s.tok > s."full" AS odd FROM sel s LEFT JOIN pair_truth t ON t.rec = s.rec AND t.s1 = s.s1),
+        c2 AS (SELECT s1, count(*) AS n_pred, count(*) FILTER (hit) AS tp FROM l WHERE NOT odd GROUP BY s1), a2 AS (SELECT coalesce(tp, 0) AS tp, coalesce(n_pred, 0) AS n_pred, n_true FROM n_true LEFT JOIN c2 USING (s1))
+        SELECT count(*) AS accepted, count(*) FILTER (odd) AS flagged, round(count(*) FILTER (odd AND hit) / count(*) FILTER (odd), 6) AS right_share, round((SELECT avg(f05) FROM scores), 6) AS before, round((SELECT avg({_F05}) FROM a2), 6) AS after FROM l""",
+    "q_rule_gain": f"""{_P}, {_SEL}, e AS (SELECT country, s1, count(*) FILTER (tok > "full") AS m, count(*) FILTER (NOT tok > "full") AS k FROM sel GROUP BY ALL HAVING count(*) FILTER (tok > "full") > 0),
+        j AS (SELECT country, s1, m, k, q, unnest(range(m + 1)) AS j FROM e CROSS JOIN (VALUES (0.5), (0.7), (0.9), (0.97)) a(q)),
+        g AS (SELECT country, s1, CAST(q AS DOUBLE) AS q, m, k, sum(exp(lgamma(m + 1) - lgamma(j + 1) - lgamma(m - j + 1)) * pow(1 - CAST(q AS DOUBLE), j) * pow(CAST(q AS DOUBLE), m - j) *
+            ((CASE WHEN k = 0 AND j = 0 THEN 1.0 WHEN k = 0 THEN 0.0 ELSE 1.25 * k / (k + 0.25 * (k + j)) END) - (CASE WHEN k + j = 0 THEN 0.0 ELSE 1.25 * (k + j) / (k + m + 0.25 * (k + j)) END))) AS gain FROM j GROUP BY ALL)
+        SELECT country, q, CAST(sum(m) AS BIGINT) AS pairs, count(*) AS entities, count(*) FILTER (k = 0) AS alone, round(sum(gain) / 1000, 6) AS change FROM g GROUP BY ALL""",
+    "q_pattern_density": f"""{_P}, z AS (SELECT country, count(*) AS a FROM entities GROUP BY country)
+        SELECT split, country, CAST(cut AS DOUBLE) AS cut, round(n / a, 6) AS pairs_per_s1, round(odd * 100 / a, 6) AS odd, round(first * 100 / a, 6) AS first FROM (
+            SELECT CASE WHEN rec % 2 = 0 THEN 'train' ELSE 'test' END AS split, country, cut, count(*) AS n, count(*) FILTER (tok > "full") AS odd, count(*) FILTER (ord = 1) AS first FROM pairs CROSS JOIN (VALUES (0.5), (0.9)) b(cut) WHERE p >= cut GROUP BY ALL) JOIN z USING (country)""",
+    "q_decision_changes": f"""{_P}, {_SEL}, o AS (SELECT * FROM (SELECT *, row_number() OVER w AS k, lead("full", 1, 0.0) OVER w AS second FROM pairs WINDOW w AS (PARTITION BY rec ORDER BY "full" DESC, ord, s1)) WHERE k = 1 AND "full" >= 0.3 AND "full" - second >= 0.2),
+        b AS (SELECT CASE WHEN b.rec IS NULL THEN 'DROP' WHEN a.rec IS NULL THEN 'ADD' ELSE 'KEEP' END AS change, coalesce(a.tok, b.tok) > coalesce(a."full", b."full") AS odd, coalesce(a.ord, b.ord) = 1 AS first FROM sel a FULL OUTER JOIN o b ON a.rec = b.rec AND a.s1 = b.s1)
+        SELECT change, count(*) AS n, count(*) FILTER (odd) AS odd, count(*) FILTER (first) AS first FROM b GROUP BY change""",
+    "q_redecide": f"{_P}, {_BEST} SELECT rec, s1, p FROM best WHERE p >= 0.8 AND p - second >= 0.3",
+    "q_folds": f"""{_P}, h AS (SELECT s1, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST(s1 AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(s1 AS VARCHAR), i, 1)) AS BIGINT))),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), CAST(4294967295 AS BIGINT)) AS hash FROM entities)
+        SELECT s1, hash, CAST(hash % 3 AS INTEGER) AS fold, round((hash // 3) % 10000 / 10000.0, 6) AS draw FROM h""",
+    "q_entity_sample": f"""{_P}, {_SEL}, h AS (SELECT s1, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST(s1 AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(s1 AS VARCHAR), i, 1)) AS BIGINT))),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), CAST(4294967295 AS BIGINT)) AS hash FROM entities),
+        t AS (SELECT s1 FROM h ORDER BY hash, s1 LIMIT 10) SELECT t.s1, s.rec FROM t LEFT JOIN sel s USING (s1)""",
     "q_violations": f"""{_P}, {_PRUNED}, m AS (SELECT rec, s1 FROM pairs WHERE p >= 0.5), e AS (SELECT s_suppkey AS s1 FROM supplier WHERE s_acctbal >= 0), r AS (SELECT o_orderkey AS rec FROM orders WHERE o_orderstatus <> 'F')
         SELECT 'unknown entity' AS rule, count(*) AS n FROM m ANTI JOIN e USING (s1) UNION ALL SELECT 'unknown record', count(*) FROM m ANTI JOIN r USING (rec) UNION ALL SELECT 'entity as record', count(*) FROM m WHERE rec IN (SELECT s1 FROM e)
         UNION ALL SELECT 'repeated pair', count(*) FROM (SELECT rec, s1 FROM m GROUP BY ALL HAVING count(*) > 1) UNION ALL SELECT 'record twice', count(*) FROM (SELECT rec FROM m GROUP BY rec HAVING count(DISTINCT s1) > 1)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, similarity, text
-from tessera.operators import blocking, decide, evaluate, groups, lookalike, translit
+from tessera.operators import analysis, blocking, decide, evaluate, features, groups, lookalike, translit
 from tessera.plans import bindings as B
+from tessera.plans import linkage
 from tessera.sources import tables
 from tessera.sources.shared import Once
 
-MOST_ENTITIES = 50
+#: Most entities that hold a word of the index: of names and addresses, of whole texts.
+MOST_ENTITIES, MOST_TEXTS = 2000, 50
 THRESHOLD, MARGIN = 0.6, 0.1
 
 
@@ -58,7 +60,12 @@ def q_accent_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.table(spark, sf_dir, "benchmark").select("item_id", tables.repaired(F.col("text")).alias("text"))
+    """Texts whose commas were read in a wrong encoding, as three characters of which one is the mark of such errors.
+
+    Texts with letters of other encodings beside them cannot have been read so, and stay as they are.
+    """
+    broken = F.replace("text", F.lit(","), F.lit("\u00e2\u20ac\u201c"))
+    return B.table(spark, sf_dir, "benchmark").select("item_id", tables.repaired(broken).alias("text"))
 
 
 def q_address_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,29 +103,25 @@ def q_address_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- words and trigrams
 
 
-def _weights(spark: SparkSession, sf_dir: str, field: str) -> tuple[DataFrame, DataFrame]:
-    """(weights of records, weights of entities) of a field's distinct tokens."""
+def _weights(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    """Weights of a field's distinct tokens, records and entities."""
     rows = _records(spark, sf_dir).select("id", "country", "src", F.filter(F.split(field, " "), lambda t: t != "").alias("_w"))
-    w = _once(("weights", sf_dir, field), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)))
-    one = rows.filter("src = 1").select("id", "country")
-    return w.join(one, ["id", "country"], "left_anti"), w.join(one, ["id", "country"], "left_semi")
+    return _once(("weights", sf_dir, field), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, country, src, _w): the words of whole texts."""
-    rows = B.raw_records(spark, sf_dir).select("id", "country", "src")
     words = text.tokens(F.coalesce("text", F.lit("")))
-    return rows.join(B.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), words.alias("_w")), "id")
+    return B.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), B.source_number().alias("src"), words.alias("_w"))
 
 
 def q_token_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _texts(spark, sf_dir)
-    return blocking.idf(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)).withColumn("idf", _r("idf"))
+    return blocking.idf(blocking.postings(rows, F.col("_w")), blocking.country_sizes(rows)).select("country", "token", "df", _r("idf").alias("idf"))
 
 
-def _scores(spark: SparkSession, sf_dir: str, field: str, most: int = MOST_ENTITIES) -> DataFrame:
-    recs, ones = _weights(spark, sf_dir, field)
-    return _once(("scores", sf_dir, field, most), lambda: blocking.token_scores(recs, blocking.index_of(ones, most)))
+def _scores(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    return _once(("scores", sf_dir, field), lambda: blocking.index_scores(_weights(spark, sf_dir, field), MOST_ENTITIES))
 
 
 def q_token_topk_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,9 +143,9 @@ def q_token_topk_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_token_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs, ones = _weights(spark, sf_dir, "name_n")
+    w = _weights(spark, sf_dir, "name_n")
     pairs = blocking.top_k(_scores(spark, sf_dir, "addr_n"), 5, 0.02).select("country", "rec", "s1")
-    return blocking.pair_token_cosines(pairs, recs, ones).select("rec", "s1", "cos")
+    return blocking.pair_token_cosines(pairs, w.filter("src > 1"), w.filter("src = 1")).select("rec", "s1", "cos")
 
 
 def _gram_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,24 +154,20 @@ def _gram_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gram_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _gram_rows(spark, sf_dir)
-    return blocking.idf(blocking.gram_counts(rows, F.col("name_core")), blocking.country_sizes(rows)).withColumn("idf", _r("idf"))
+    return blocking.idf(blocking.gram_counts(rows, F.col("name_core")), blocking.country_sizes(rows)).select("country", "token", "df", _r("idf").alias("idf"))
 
 
 def q_gram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _gram_rows(spark, sf_dir)
-    w = blocking.weights(blocking.gram_counts(rows, F.col("name_core")), blocking.country_sizes(rows))
-    one = rows.filter("src = 1").select("id", "country")
-    recs, ones = w.join(one, ["id", "country"], "left_anti"), w.join(one, ["id", "country"], "left_semi")
-    return blocking.top_k(blocking.token_scores(recs, blocking.index_of(ones, 2000)), 3, 0.3).select("rec", "s1", "score", "rank")
+    w = _once(("gram_weights", sf_dir), lambda: blocking.weights(blocking.gram_counts(rows, F.col("name_core")), blocking.country_sizes(rows)))
+    return blocking.top_k(blocking.index_scores(w, None), 3, 0.3).select("rec", "s1", "score", "rank")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word TF-IDF of whole texts within the country, the best entity of each record under a threshold and a margin."""
     rows = _texts(spark, sf_dir)
-    sides = B.raw_records(spark, sf_dir).select("id", "src")
-    w = _once(("text_weights", sf_dir), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(B.raw_records(spark, sf_dir))).join(sides, "id"))
-    pairs = blocking.token_scores(w.filter("src > 1"), blocking.index_of(w.filter("src = 1"), MOST_ENTITIES))
-    pairs = pairs.withColumnsRenamed({"score": "p"}).withColumn("ord", F.col("s1"))
+    w = _once(("text_weights", sf_dir), lambda: blocking.weights(blocking.postings(rows, F.col("_w")), blocking.country_sizes(B.raw_records(spark, sf_dir))))
+    pairs = blocking.index_scores(w, MOST_TEXTS).withColumnsRenamed({"score": "p"}).withColumn("ord", F.col("s1"))
     return decide.select(pairs, THRESHOLD, MARGIN).select("rec", "s1", "p", "second")
 
 
@@ -180,6 +179,23 @@ def q_dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.dense_top_k(queries, index, 5)
 
 
+def _dense_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    index, queries = B.field_vectors(spark, sf_dir)
+    return blocking.dense_views(queries, index, {view: 5})[view]
+
+
+def q_dense_topk_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dense_view(spark, sf_dir, "full")
+
+
+def q_dense_topk_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dense_view(spark, sf_dir, "name")
+
+
+def q_dense_topk_addr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dense_view(spark, sf_dir, "addr")
+
+
 def q_pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = B.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     pairs = rows.select(F.col("vec_id").alias("rec"), F.col("embedding").alias("_a")).withColumn("s1", F.col("rec") - F.col("rec") % 10)
@@ -189,13 +205,30 @@ def q_pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- union and report
 
 
+VIEWS = ("full", "tname", "taddr", "tfull", "key", "hkey")
+FULL_K = 30
+
+
+def _gram_scores(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    """Exact trigram cosines of a field, of all pairs that share a trigram."""
+    rows = _records(spark, sf_dir).select("id", "country", "src", field)
+    w = _once(("gram_weights", sf_dir, field), lambda: blocking.weights(blocking.gram_counts(rows, F.col(field)), blocking.country_sizes(rows)))
+    return blocking.index_scores(w, None)
+
+
+def _gram_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of half the name's and half the address's trigram cosine."""
+    both = _gram_scores(spark, sf_dir, "name_n").union(_gram_scores(spark, sf_dir, "addr_n"))
+    return blocking.top_k(both.groupBy("country", "rec", "s1").agg(_r(F.sum("score") * 0.5).alias("score")), FULL_K)
+
+
 def _union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _records(spark, sf_dir)
     s1, recs = B.sides(rows)
-    return blocking.union_views({
-        "tname": q_token_topk_name(spark, sf_dir), "taddr": q_token_topk_addr(spark, sf_dir), "tfull": q_token_topk_full(spark, sf_dir),
+    return _once(("union", sf_dir), lambda: blocking.union_views({
+        "full": _gram_full(spark, sf_dir), "tname": q_token_topk_name(spark, sf_dir), "taddr": q_token_topk_addr(spark, sf_dir), "tfull": q_token_topk_full(spark, sf_dir),
         "key": blocking.key_pairs(s1, recs, ["name_core"], 20), "hkey": blocking.house_pairs(s1, recs),
-    })
+    }))
 
 
 def q_view_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,9 +237,18 @@ def q_view_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _union(spark, sf_dir)
-    names = ["tname", "taddr", "tfull", "key", "hkey"]
-    sums = rows.agg(*[F.sum(blocking.has_view(v).cast("int")).alias(v) for v in names])
-    return sums.selectExpr(f"stack({len(names)}, {', '.join(f"'{v}', {v}" for v in names)}) AS (view, pairs)")
+    sums = rows.agg(*[F.sum(blocking.has_view(v).cast("int")).alias(v) for v in VIEWS])
+    return sums.selectExpr(f"stack({len(VIEWS)}, {', '.join(f"'{v}', {v}" for v in VIEWS)}) AS (view, pairs)")
+
+
+def q_view_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = analysis.view_report(_union(spark, sf_dir), B.truth(spark, sf_dir), {v: fixed.VIEW_BITS[v] for v in VIEWS})
+    return out.withColumn("recall", _r("recall"))
+
+
+def q_query_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature is a sample: a fifth of the records of every country, by hash."""
+    return analysis.query_sample(B.raw_records(spark, sf_dir).filter("src > 1"), 0.2).select("id", "country")
 
 
 def q_block_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,19 +366,106 @@ def q_difference_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.difference_kind(_name_pairs(spark, sf_dir)).groupBy("country", "kind").agg(F.count("*").alias("n"))
 
 
+def q_changed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.changed_words(_name_pairs(spark, sf_dir), 10).withColumn("share", _r("share"))
+
+
+def _looked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s1, recs = B.sides(_records(spark, sf_dir))
+    return lookalike.pair_features(_name_pairs(spark, sf_dir), lookalike.token_stats(s1, recs))
+
+
+def q_swap_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.swap_profile(_looked(spark, sf_dir))
+
+
+def q_postfilter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s1, recs = B.sides(_records(spark, sf_dir))
+    return lookalike.post_filter_counts(_name_pairs(spark, sf_dir), lookalike.token_stats(s1, recs))
+
+
+def q_same_address_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, n, share): pairs that swap words, and how many of them have equal addresses."""
+    rows = lookalike.difference_kind(_name_pairs(spark, sf_dir)).filter("kind = 'SUB'")
+    return rows.groupBy("country").agg(F.count("*").alias("n"), _r(F.avg((F.col("s1_addr") == F.col("rec_addr")).cast("int"))).alias("share"))
+
+
+def q_region_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known regions are stood in for by the codes of states, whose letters some words of the tables share."""
+    return analysis.region_coverage(B.raw_records(spark, sf_dir), "addr_raw", list(fixed.STATE_CODES)).withColumn("known", _r("known"))
+
+
+# ---- columns of pairs
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all views with their cosines."""
+    return _once(("candidates", sf_dir), lambda: linkage.candidates(_records(spark, sf_dir), linkage.Settings()))
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best candidates of each record; the mean word cosine stands in for the first model's score."""
+    scored = _candidates(spark, sf_dir).withColumn("p1", _r((F.col("tcos_name") + F.col("tcos_addr")) / 2))
+    return _once(("described", sf_dir), lambda: groups.pruned(scored, "p1", 2, 0.0))
+
+
+def _six(rows: DataFrame) -> DataFrame:
+    return rows.select(*[_r(c).alias(c) if t == "double" else c for c, t in rows.dtypes])
+
+
+def q_stage1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = features.first_stage(_described(spark, sf_dir).drop("p1"), _records(spark, sf_dir))
+    return _six(out.select("rec", "s1", *features.STAGE1))
+
+
+def q_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _six(features.base(_described(spark, sf_dir), _records(spark, sf_dir), 0.3).drop("country", "ord"))
+
+
+def q_rare_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _six(features.rare(_described(spark, sf_dir), _records(spark, sf_dir)))
+
+
+# ---- words of two splits
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("split", F.when(F.col("id") % 2 == 0, "train").otherwise("test"))
+
+
+def _split_stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(word statistics with their class, sizes of the sides) of records with even and with odd ids."""
+    rows = _split(_records(spark, sf_dir))
+    stats, sizes = [], []
+    for split in ("train", "test"):
+        s1, recs = B.sides(rows.filter(F.col("split") == split))
+        stats.append(lookalike.token_stats(s1, recs).select(F.lit(split).alias("split"), "country", "token", "df1", "df23", lookalike.word_class().alias("class")))
+        sizes.append(s1.groupBy("country").agg(F.count("*").alias("n1")).join(recs.groupBy("country").agg(F.count("*").alias("n23")), "country").select(F.lit(split).alias("split"), "country", "n1", "n23"))
+    return _once(("split_stats", sf_dir), lambda: stats[0].union(stats[1])), sizes[0].union(sizes[1])
+
+
+def q_ratio_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = analysis.ratio_quantiles(*_split_stats(spark, sf_dir), 3)
+    return out.select("split", "country", "tokens", *[_r(c).alias(c) for c in out.columns[3:]])
+
+
+def q_class_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.class_flips(_split_stats(spark, sf_dir)[0], "train", "test").withColumn("share", _r("share"))
+
+
 # ---- SQL
 
 _R = f"WITH {B.RECORDS_SQL}"
 
 
-def _sql_weights(field: str, tag: str, source: str = "records", words: str = "") -> str:
+def _sql_weights(field: str, tag: str, source: str = "records", words: str = "", most: int = MOST_ENTITIES) -> str:
     words = words or f"string_split({field}, ' ')"
     return f"""
 size_{tag} AS (SELECT country, count(*) AS n FROM {source} GROUP BY country),
 post_{tag} AS (SELECT DISTINCT id, country, src, token FROM (SELECT id, country, src, unnest({words}) AS token FROM {source}) WHERE token <> ''),
 idf_{tag} AS (SELECT country, token, count(*) AS df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM post_{tag} JOIN size_{tag} USING (country) GROUP BY country, token),
 w_{tag} AS (SELECT id, country, src, token, idf / sqrt(sum(idf * idf) OVER (PARTITION BY country, id)) AS w FROM post_{tag} JOIN idf_{tag} USING (country, token)),
-index_{tag} AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY country, token) AS c FROM w_{tag} WHERE src = 1) WHERE c <= {MOST_ENTITIES}),
+index_{tag} AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY country, token) AS c FROM w_{tag} WHERE src = 1) WHERE c <= {most}),
 score_{tag} AS (SELECT a.country, a.id AS rec, b.id AS s1, round(sum(a.w * b.w), 6) AS score FROM w_{tag} a JOIN index_{tag} b USING (country, token) WHERE a.src > 1 GROUP BY ALL)"""
 
 
@@ -345,10 +474,10 @@ def _sql_top(table: str, k: int, least: float) -> str:
 
 
 _TEXTS = f"{B.RAW_SQL}, texts AS (SELECT r.id, r.country, r.src, {B.sql_tokens("coalesce(text, '')")} AS words FROM raw_records r JOIN documents d ON d.doc_id = r.id)"
-_T = _sql_weights("", "t", "texts", "words")
+_T = _sql_weights("", "t", "texts", "words", MOST_TEXTS)
 _N, _A = _sql_weights("name_n", "n"), _sql_weights("addr_n", "a")
 _FULL = "score_f AS (SELECT country, rec, s1, round(sum(score), 6) AS score FROM (SELECT * FROM score_n UNION ALL SELECT * FROM score_a) GROUP BY ALL)"
-_PAIRS = f"{B.RECORDS_SQL}, {_N}, {_A}, {_FULL}, top_f AS ({_sql_top('score_f', 10, 0.02)}), two AS (SELECT rec, s1 FROM top_f WHERE rank <= 2), name_pairs AS (SELECT t.rec, t.s1, a.country, a.name_n AS s1_name, b.name_n AS rec_name FROM two t JOIN records a ON a.id = t.s1 JOIN records b ON b.id = t.rec)"
+_PAIRS = f"{B.RECORDS_SQL}, {_N}, {_A}, {_FULL}, top_f AS ({_sql_top('score_f', 10, 0.02)}), two AS (SELECT rec, s1 FROM top_f WHERE rank <= 2), name_pairs AS (SELECT t.rec, t.s1, a.country, a.name_n AS s1_name, b.name_n AS rec_name, a.addr_n AS s1_addr, b.addr_n AS rec_addr FROM two t JOIN records a ON a.id = t.s1 JOIN records b ON b.id = t.rec)"
 _SKIP = B.sql_list(fixed.LEGAL_FORMS + fixed.NAME_FILLER)
 
 
@@ -370,24 +499,46 @@ stats AS (
     SELECT *, CASE WHEN lratio >= ln({fixed.FILLER_RATIO}) AND df23 >= {fixed.FILLER_DOCS} THEN 'filler' WHEN df1 >= vocab_min THEN 'vocab' ELSE 'rare' END AS class FROM stats
 )"""
 
-_UNION = f"""{_PAIRS}, key_counts AS (SELECT *, count(*) OVER (PARTITION BY country, name_core) AS c FROM records WHERE src = 1),
+_KINDS = f"""kinds AS (SELECT *, len(list_filter(a, lambda t: NOT list_contains(b, t))) > 0 AS lacks, len(list_filter(b, lambda t: NOT list_contains(a, t))) > 0 AS adds
+    FROM (SELECT *, {_sql_words("s1_name")} AS a, {_sql_words("rec_name")} AS b FROM name_pairs))"""
+_SPLIT_STATS = f"""
+split_words AS (SELECT id % 2 AS odd, country, src, unnest({_sql_words("name_n")}) AS token FROM records),
+split_sizes AS (SELECT id % 2 AS odd, country, count(*) FILTER (src = 1) AS n1, count(*) FILTER (src > 1) AS n23 FROM records GROUP BY ALL HAVING count(*) FILTER (src = 1) > 0),
+split_stats AS (
+    SELECT CASE WHEN odd = 0 THEN 'train' ELSE 'test' END AS split, country, token, df1, df23, n1, n23, (df23 + 1.0) / (df1 + 1.0) / (CAST(n23 AS DOUBLE) / n1) AS ratio,
+           CASE WHEN least(greatest(ln((df23 + 1.0) / (df1 + 1.0)) - ln(CAST(greatest(n23, 1) AS DOUBLE) / greatest(n1, 1)), {fixed.LRATIO_LEAST}), {fixed.LRATIO_MOST}) >= ln({fixed.FILLER_RATIO}) AND df23 >= {fixed.FILLER_DOCS} THEN 'filler'
+                WHEN df1 >= CAST(greatest(2, round_even(n1 * {fixed.VOCABULARY_SHARE}, 0)) AS INTEGER) THEN 'vocab' ELSE 'rare' END AS class
+    FROM (SELECT odd, country, token, count(*) FILTER (src = 1) AS df1, count(*) FILTER (src > 1) AS df23 FROM split_words GROUP BY ALL) JOIN split_sizes USING (odd, country)
+    WHERE df1 >= 1 OR df23 >= {fixed.FILLER_DOCS}
+)"""
+
+
+def _sql_grams(field: str, tag: str) -> str:
+    """gram_score_{tag}: trigram cosines of a field over all pairs that share a trigram."""
+    return f"""
+gram_words_{tag} AS (SELECT id, country, src, ' ' || unnest(list_filter(string_split(lower({field}), ' '), lambda t: t <> '')) || ' ' AS w FROM records),
+gram_each_{tag} AS (SELECT id, country, src, unnest(list_transform(range(1, length(w) - 1), lambda k: substr(w, k, 3))) AS token FROM gram_words_{tag}),
+gram_tf_{tag} AS (SELECT id, country, src, token, count(*) AS tf FROM gram_each_{tag} WHERE regexp_matches(token, '^[a-z0-9 ]{{3}}$') GROUP BY ALL),
+gram_size_{tag} AS (SELECT country, count(*) AS n FROM records GROUP BY country),
+gram_idf_{tag} AS (SELECT country, token, count(*) AS df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM gram_tf_{tag} JOIN gram_size_{tag} USING (country) GROUP BY country, token),
+gram_raw_{tag} AS (SELECT id, country, src, token, (ln(CAST(tf AS DOUBLE)) + 1.0) * idf AS w0 FROM gram_tf_{tag} JOIN gram_idf_{tag} USING (country, token)),
+gram_w_{tag} AS (SELECT id, country, src, token, w0 / sqrt(sum(w0 * w0) OVER (PARTITION BY country, id)) AS w FROM gram_raw_{tag}),
+gram_score_{tag} AS (SELECT a.country, a.id AS rec, b.id AS s1, round(sum(a.w * b.w), 6) AS score FROM gram_w_{tag} a JOIN gram_w_{tag} b USING (country, token) WHERE a.src > 1 AND b.src = 1 GROUP BY ALL)"""
+
+
+_GRAM_FULL = f"{_sql_grams('name_n', 'n')}, {_sql_grams('addr_n', 'a')}, gram_full AS (SELECT country, rec, s1, round(sum(score) * 0.5, 6) AS score FROM (SELECT * FROM gram_score_n UNION ALL SELECT * FROM gram_score_a) GROUP BY ALL)"
+_UNION = f"""{_PAIRS}, {_GRAM_FULL}, key_counts AS (SELECT *, count(*) OVER (PARTITION BY country, name_core) AS c FROM records WHERE src = 1),
 house_counts AS (SELECT *, count(*) OVER (PARTITION BY country, house, first) AS c FROM records WHERE src = 1 AND house <> '' AND first <> ''),
 found AS (
     SELECT rec, s1, 32 AS bit FROM ({_sql_top("score_n", 5, 0.02)}) UNION ALL SELECT rec, s1, 64 FROM ({_sql_top("score_a", 5, 0.02)}) UNION ALL SELECT rec, s1, 16 FROM top_f
+    UNION ALL SELECT rec, s1, 1 FROM ({_sql_top("gram_full", FULL_K, 0.0)})
     UNION ALL SELECT r.id, k.id, 8 FROM records r JOIN key_counts k USING (country, name_core) WHERE r.src > 1 AND k.c <= 20
     UNION ALL SELECT r.id, k.id, 128 FROM records r JOIN house_counts k USING (country, house, first) WHERE r.src > 1 AND k.c <= 50
 ), view_union AS (SELECT rec, s1, CAST(bit_or(bit) AS INTEGER) AS views FROM found GROUP BY rec, s1)"""
 
-_GRAMS = f"""{B.RECORDS_SQL}, gram_words AS (SELECT id, country, src, ' ' || unnest(list_filter(string_split(lower(name_core), ' '), lambda t: t <> '')) || ' ' AS w FROM records),
-gram_each AS (SELECT id, country, src, unnest(list_transform(range(1, length(w) - 1), lambda k: substr(w, k, 3))) AS token FROM gram_words),
-gram_tf AS (SELECT id, country, src, token, count(*) AS tf FROM gram_each WHERE regexp_matches(token, '^[a-z0-9 ]{{3}}$') GROUP BY ALL),
-gram_size AS (SELECT country, count(*) AS n FROM records GROUP BY country),
-gram_idf AS (SELECT country, token, count(*) AS df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM gram_tf JOIN gram_size USING (country) GROUP BY country, token),
-gram_raw AS (SELECT id, country, src, token, (ln(CAST(tf AS DOUBLE)) + 1.0) * idf AS w0 FROM gram_tf JOIN gram_idf USING (country, token)),
-gram_w AS (SELECT id, country, src, token, w0 / sqrt(sum(w0 * w0) OVER (PARTITION BY country, id)) AS w FROM gram_raw),
-gram_index AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY country, token) AS c FROM gram_w WHERE src = 1) WHERE c <= 2000),
-gram_score AS (SELECT a.country, a.id AS rec, b.id AS s1, round(sum(a.w * b.w), 6) AS score FROM gram_w a JOIN gram_index b USING (country, token) WHERE a.src > 1 GROUP BY ALL)"""
+_GRAMS = f"{B.RECORDS_SQL}, {_sql_grams('name_core', 'c')}"
 
+_BITS = ", ".join(f"('{v}', {fixed.VIEW_BITS[v]})" for v in VIEWS)
 _F05 = "CASE WHEN {p} = 0 AND {t} = 0 THEN 1.0 WHEN {h} = 0 THEN 0.0 ELSE 1.25 * {h} / ({p} + 0.25 * {t}) END"
 
 SQL = {
@@ -402,7 +553,7 @@ SQL = {
     "q_lengths": f"""{_R} SELECT id, CAST(length(name_n) AS INTEGER) AS name_len, CAST(length(addr_n) AS INTEGER) AS addr_len, CAST(length(name_n) - length(replace(name_n, ' ', '')) + 1 AS INTEGER) AS name_ntok,
         CAST(CASE WHEN addr_n = '' THEN 0 ELSE length(addr_n) - length(replace(addr_n, ' ', '')) + 1 END AS INTEGER) AS addr_ntok FROM records""",
     "q_accent_fold": f"SELECT doc_id, {B.sql_folded("coalesce(text, '')")} AS folded FROM documents",
-    "q_mojibake": "SELECT item_id, text FROM benchmark",
+    "q_mojibake": "SELECT item_id, replace(text, ',', CASE WHEN strlen(text) = length(text) THEN '\u2013' ELSE '\u00e2\u20ac\u201c' END) AS text FROM benchmark",
     "q_address_key": "SELECT p_partkey, CAST(p_size AS VARCHAR) || ' ' || substr(lower(p_name), 1, least(4, strpos(lower(p_name) || ' ', ' ') - 1)) AS key FROM part",
     "q_token_map": f"""WITH {B.RAW_SQL}, {B.TRUTH_SQL}, two_names AS (SELECT {B.sql_tokens("r.name_raw")} AS a, {B.sql_tokens("e.name_raw")} AS b FROM truth t JOIN raw_records r ON r.id = t.rec JOIN raw_records e ON e.id = t.s1),
         each AS (SELECT unnest(a) AS token, unnest(b) AS target FROM two_names WHERE len(a) = len(b)),
@@ -420,15 +571,22 @@ SQL = {
     "q_token_topk_full": f"WITH {_PAIRS} SELECT rec, s1, score, rank FROM top_f",
     "q_token_cosine": f"""{_R}, {_N}, {_A}, c AS ({_sql_top("score_a", 5, 0.02)}), s AS (SELECT c.rec, c.s1, round(sum(a.w * b.w), 6) AS cos FROM c JOIN w_n a ON a.id = c.rec JOIN w_n b ON b.id = c.s1 AND b.token = a.token GROUP BY ALL)
         SELECT c.rec, c.s1, coalesce(cos, 0.0) AS cos FROM c LEFT JOIN s USING (rec, s1)""",
-    "q_gram_idf": f"WITH {_GRAMS} SELECT country, token, df, round(idf, 6) AS idf FROM gram_idf",
-    "q_gram_topk": f"WITH {_GRAMS} SELECT rec, s1, score, rank FROM ({_sql_top('gram_score', 3, 0.3)})",
+    "q_gram_idf": f"WITH {_GRAMS} SELECT country, token, df, round(idf, 6) AS idf FROM gram_idf_c",
+    "q_gram_topk": f"WITH {_GRAMS} SELECT rec, s1, score, rank FROM ({_sql_top('gram_score_c', 3, 0.3)})",
     "q_flagship": f"""WITH {_TEXTS}, {_T}, r AS (SELECT rec, s1, score AS p, lead(score, 1, 0.0) OVER w AS second, row_number() OVER w AS k FROM score_t WINDOW w AS (PARTITION BY rec ORDER BY score DESC, s1))
         SELECT rec, s1, p, second FROM r WHERE k = 1 AND p >= {THRESHOLD} AND p - second >= {MARGIN}""",
     "q_dense_topk": """WITH s AS (SELECT q.vec_id AS rec, i.vec_id AS s1, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 6) AS score FROM embeddings q JOIN embeddings i ON q.label = i.label AND q.vec_id % 2 = 1 AND i.vec_id % 2 = 0)
         SELECT * FROM (SELECT rec, s1, score, CAST(row_number() OVER (PARTITION BY rec ORDER BY score DESC, s1) AS INTEGER) AS rank FROM s) WHERE rank <= 5""",
+    **{f"q_dense_topk_{view}": f"""WITH {B.FIELD_VECTORS_SQL}, s AS (SELECT q.id AS rec, i.id AS s1, round({score}, 6) AS score FROM field_vectors q JOIN field_vectors i USING (country) WHERE q.id % 2 = 1 AND i.id % 2 = 0 AND {asked})
+        SELECT * FROM (SELECT rec, s1, score, CAST(row_number() OVER (PARTITION BY rec ORDER BY score DESC, s1) AS INTEGER) AS rank FROM s) WHERE rank <= 5"""
+       for view, score, asked in (("full", "0.5 * list_dot_product(q.n, i.n) + 0.5 * list_dot_product(q.a, i.a)", "true"), ("name", "list_dot_product(q.n, i.n)", "q.has_name"), ("addr", "list_dot_product(q.a, i.a)", "q.has_addr"))},
     "q_pair_cosine": "SELECT a.vec_id AS rec, b.vec_id AS s1, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cos FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id - a.vec_id % 10",
     "q_view_union": f"WITH {_UNION} SELECT * FROM view_union",
-    "q_view_counts": f"WITH {_UNION} SELECT view, CAST(sum(CASE WHEN views & bit > 0 THEN 1 ELSE 0 END) AS BIGINT) AS pairs FROM view_union CROSS JOIN (VALUES ('tname', 32), ('taddr', 64), ('tfull', 16), ('key', 8), ('hkey', 128)) v(view, bit) GROUP BY view",
+    "q_view_counts": f"WITH {_UNION} SELECT view, CAST(sum(CASE WHEN views & bit > 0 THEN 1 ELSE 0 END) AS BIGINT) AS pairs FROM view_union CROSS JOIN (VALUES {_BITS}) v(view, bit) GROUP BY view",
+    "q_view_report": f"""WITH {_UNION}, {B.TRUTH_SQL}, h AS (SELECT v.views, t.rec IS NOT NULL AS hit FROM view_union v LEFT JOIN truth t USING (rec, s1))
+        SELECT view, CAST(sum(CASE WHEN bit = 0 OR views & bit > 0 THEN 1 ELSE 0 END) AS BIGINT) AS pairs, round(sum(CASE WHEN hit AND (bit = 0 OR views & bit > 0) THEN 1 ELSE 0 END) / (SELECT count(*) FROM truth), 6) AS recall
+        FROM h CROSS JOIN (VALUES {_BITS}, ('union', 0)) b(view, bit) GROUP BY view""",
+    "q_query_sample": f"WITH {B.RAW_SQL} SELECT id, country FROM raw_records WHERE src > 1 AND CAST('0x' || substr(md5(country || '|' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.2",
     "q_block_report": f"""WITH {_UNION}, {B.TRUTH_SQL}, f AS (SELECT s1, count(*) AS n, count(t.rec) AS tp FROM view_union v LEFT JOIN truth t USING (rec, s1) GROUP BY s1), g AS (SELECT s1, count(*) AS n_true FROM truth GROUP BY s1),
         e AS (SELECT coalesce(n, 0) AS n, coalesce(tp, 0) AS tp, coalesce(n_true, 0) AS n_true FROM raw_records r LEFT JOIN f ON f.s1 = r.id LEFT JOIN g ON g.s1 = r.id WHERE src = 1)
         SELECT CAST(sum(n) AS BIGINT) AS pairs, round(sum(tp) / sum(n_true), 6) AS recall, round(avg({_F05.format(p="tp", t="n_true", h="tp")}), 6) AS oracle_f05, round(avg(n), 6) AS mean_candidates,
@@ -455,6 +613,15 @@ SQL = {
         CASE WHEN a.first <> '' AND b.name_n <> '' THEN CAST(contains(b.name_n, a.first) AS DOUBLE) END AS s1_first_in_rec, CASE WHEN b.first <> '' AND a.name_n <> '' THEN CAST(contains(a.name_n, b.first) AS DOUBLE) END AS rec_first_in_s1,
         CAST(length(a.name_n) - length(b.name_n) AS INTEGER) AS d_name_n_len, CAST(length(a.addr_n) - length(b.addr_n) AS INTEGER) AS d_addr_n_len, b.is_domain, b.name_non_latin, b.addr_empty, b.src
         FROM two t JOIN records a ON a.id = t.s1 JOIN records b ON b.id = t.rec""",
+    "q_changed_words": f"""WITH {_PAIRS}, {_KINDS}, w AS (SELECT country, 'missing' AS kind, unnest(list_filter(a, lambda t: NOT list_contains(b, t))) AS word FROM kinds UNION ALL SELECT country, 'extra', unnest(list_filter(b, lambda t: NOT list_contains(a, t))) FROM kinds),
+        c AS (SELECT country, kind, word, count(*) AS n FROM w GROUP BY ALL)
+        SELECT country, kind, word, n, round(n / whole, 6) AS share FROM (SELECT *, sum(n) OVER (PARTITION BY country, kind) AS whole, row_number() OVER (PARTITION BY country, kind ORDER BY n DESC, word) AS k FROM c) WHERE k <= 10""",
+    "q_same_address_flagged": f"WITH {_PAIRS}, {_KINDS} SELECT country, count(*) AS n, round(avg(CAST(s1_addr = rec_addr AS INT)), 6) AS share FROM kinds WHERE lacks AND adds GROUP BY country",
+    "q_region_coverage": f"WITH {B.RAW_SQL} SELECT country, count(*) AS n, round(avg(CAST(len(list_filter(string_split(lower(trim(string_split(addr_raw, ',')[-1])), ' '), lambda t: t IN {B.sql_list(fixed.STATE_CODES)})) > 0 AS INT)), 6) AS known FROM raw_records WHERE addr_raw <> '' GROUP BY country",
+    "q_ratio_quantiles": f"""{_R}, {_SPLIT_STATS}, o AS (SELECT * FROM split_stats WHERE df1 >= 3 AND n23 > 0), e AS (SELECT split, country, quantile_cont(ratio, 0.5) AS weighted FROM (SELECT split, country, ratio, unnest(range(df1)) FROM o) GROUP BY ALL)
+        SELECT split, country, tokens, q10, q25, q50, q75, q90, round(weighted, 6) AS weighted, over FROM (SELECT split, country, count(*) AS tokens, {", ".join(f"round(quantile_cont(ratio, {x / 100}), 6) AS q{x}" for x in (10, 25, 50, 75, 90))}, round(avg(CAST(ratio >= 1.15 AS INT)), 6) AS over FROM o GROUP BY ALL) JOIN e USING (split, country)""",
+    "q_class_flips": f"""{_R}, {_SPLIT_STATS}, f AS (SELECT a.country, a.class AS before, b.class AS after, count(*) AS tokens, sum(b.df23) AS n FROM split_stats a JOIN split_stats b ON a.country = b.country AND a.token = b.token AND a.split = 'train' AND b.split = 'test' GROUP BY ALL)
+        SELECT country, before, after, tokens, round(n / sum(n) OVER (PARTITION BY country), 6) AS share FROM f""",
     "q_difference_kinds": f"""WITH {_PAIRS}, w AS (SELECT country, {_sql_words("s1_name")} AS a, {_sql_words("rec_name")} AS b FROM name_pairs), k AS (SELECT country, len(list_filter(a, lambda t: NOT list_contains(b, t))) > 0 AS lacks, len(list_filter(b, lambda t: NOT list_contains(a, t))) > 0 AS adds FROM w)
         SELECT country, CASE WHEN lacks AND adds THEN 'SUB' WHEN lacks THEN 'DEL' WHEN adds THEN 'ADD' ELSE 'SAME' END AS kind, count(*) AS n FROM k GROUP BY ALL""",
 }

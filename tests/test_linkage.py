@@ -1,10 +1,11 @@
 """A run from raw records to lists, linkage of a stream, and the projection."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import blocking
+from tessera.operators import blocking, evaluate, features, translit
 from tessera.plans import linkage
 from tessera.streaming import incremental
 
@@ -30,14 +31,42 @@ def raw_rows():
 
 def test_whole_run(spark, tmp_path):
     rows, pairs = raw_rows()
-    raw = spark.createDataFrame(rows, "id long, country string, src int, name_raw string, addr_raw string")
-    truth = spark.createDataFrame(pairs, "rec long, s1 long")
-    found = linkage.run(raw, truth, str(tmp_path / "run"), linkage.Settings(folds=2, rounds=2, thresholds=(0.3, 0.5), margins=(0.0,)))
+    schema = "id long, country string, src int, name_raw string, addr_raw string"
+    raw, truth = spark.createDataFrame(rows, schema), spark.createDataFrame(pairs, "rec long, s1 long")
+    limits = linkage.Settings(folds=2, rounds=2, stage1_share=0.8, thresholds=(0.3, 0.5), margins=(0.0,))
+    out = str(tmp_path / "run")
+    found = linkage.run(raw, truth, out, limits, test=raw.withColumn("id", F.col("id") + 10_000))
     assert found["report"].first()["f05"] > 0.8
-    assert found["lists"].count() == len(FIRST) * len(SECOND)
-    assert found["matches"].count() == found["matches"].select("rec").distinct().count()
-    again = linkage.run(raw, truth, str(tmp_path / "run"), linkage.Settings(folds=2, rounds=2))
+    assert found["features"].columns[:4] == ["rec", "s1", "country", "ord"] and set(features.BASE) <= set(found["features"].columns)
+    for split in ("", "test_"):
+        assert found[f"{split}lists"].count() == len(FIRST) * len(SECOND)
+        assert found[f"{split}matches"].count() == found[f"{split}matches"].select("rec").distinct().count() > 0
+    shifted = truth.select(F.col("rec") + 10_000, F.col("s1") + 10_000).toDF("rec", "s1")
+    ones = found["test_records"].filter("src = 1").select(F.col("id").alias("s1"))
+    assert evaluate.macro_f05(found["test_matches"].select("rec", "s1"), shifted, ones).first()["f05"] > 0.8
+    again = linkage.run(raw, truth, out, limits)
     assert again["matches"].count() == found["matches"].count()
+    strict = linkage.run(raw, truth, out, limits, threshold=1.1)
+    assert strict["matches"].count() == 0 and strict["stage3"].count() == found["stage3"].count()
+
+
+def test_learned_spellings(spark):
+    raw = [(k, "IN", 1, f"delhi traders {k}", f"{k} road, mumbai") for k in range(6)] + [(100 + k, "IN", 2, f"दिल्ली traders {k}", f"{k} road, मुंबई") for k in range(6)]
+    rows = spark.createDataFrame([*raw, (200, "IN", 3, "दिल्ली", "मुंबई, 4 lane"), (201, "IN", 3, None, ""), (202, "IN", 3, "", None)], "id long, country string, src int, name_raw string, addr_raw string").na.fill("")
+    truth = spark.createDataFrame([(100 + k, k) for k in range(6)], "rec long, s1 long")
+    maps = translit.learned_maps(rows, truth)
+    assert {tuple(r) for r in maps[0].select("token", "target").collect()} == {("दिल्ली", "delhi")}
+    got = {r["id"]: r for r in translit.spelled(rows, *maps).collect()}
+    assert (got[200]["name_raw"], got[200]["addr_raw"], got[200]["non_latin"]) == ("delhi", "mumbai, 4 lane", True)
+    assert got[3]["non_latin"] is False and len(got) == 15
+    fields = {r["id"]: r for r in linkage.normalised(translit.spelled(rows, *maps)).collect()}
+    assert fields[200]["name_n"] == "delhi" and fields[200]["name_non_latin"] and not fields[3]["name_non_latin"]
+
+
+def test_lists_of_columns():
+    assert len(features.BASE) == 83 and len(features.model_columns("A", 3)) == 110 and len(features.model_columns("B", 3)) == 107
+    with pytest.raises(ValueError):
+        features.chosen(["a"], ("b",), ("c",))
 
 
 def test_stream(spark, tmp_path):

@@ -37,7 +37,7 @@ from tessera.llm.workspace import Workspace, partitions
 
 END_ID = 2
 BLOCK_IDS = 4096
-FILE_IDS = 4 << 20
+FILE_IDS = 1 << 20
 #: Ids that are spread into bits at a time; whole bytes at any width.
 _PACK_IDS = 1 << 16
 #: Fine ranges of doc_id for each range of files.

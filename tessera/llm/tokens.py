@@ -22,7 +22,7 @@ from tessera.llm import bytescan
 #: White space of the tokenizer's patterns, inside a character class.
 WHITE = r"\p{White_Space}"
 #: Pieces in a generation of the table, pieces added before they are merged into it, and the longest piece in bytes kept.
-ENTRIES, RECENT, KEY_BYTES = 500_000, 100_000, 200
+ENTRIES, RECENT, KEY_BYTES = 300_000, 50_000, 200
 _WHITE = bytescan.table_of([(0x09, 0x0D), (0x20, 0x20)])
 #: ASCII punctuation that may end a piece: no apostrophe, no bracket.
 _TAIL = np.isin(np.arange(256), list(b'.,;:!?#$%&*|)"'))

@@ -343,6 +343,26 @@ def test_pipeline(spark, tmp_path):
     assert pipeline.run(spark, small).count() == counts[5]
 
 
+def test_pipeline_edges(spark, labels, tmp_path):
+    """Nulls in any column, empty and repeated rows, clashing names and an empty table through all five stages."""
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "a plain text of a few words", "en", "s", 27), (1, "a plain text of a few words", "en", "s", 27), (2, "password = Abc123defGHI456 and more words", None, None, None), (3, None, "en", "s", 0), (None, None, None, None, None), (4, "", "de", "s", 0), (None, "no id at all here", "en", None, 17), (5, "x " * 4000, "en", "s", 8000)]
+    base = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = base.withColumns({"node": F.lit("n"), "copy": F.lit(1), "_key": F.lit(2), "cuts": F.lit("c"), "ids": F.lit("i"), "_words": F.lit(3), "n_tokens": F.lit("t"), "component_id": F.lit(9)})
+    for seen in (docs, docs.limit(0)):
+        columns = seen.columns
+        for k, (name, stage) in enumerate(pipeline.STAGES):
+            out = stage(spark, seen, SF)
+            path = str(tmp_path / f"{name}{columns == docs.columns}{seen.count()}")
+            out.write.mode("overwrite").parquet(path)
+            seen = spark.read.schema(out.schema).parquet(path)
+            if k < 4:
+                assert seen.columns == columns
+        assert {"n_tokens", "ids_sha256", "decoded_sha256", "ids"} <= set(seen.columns)
+    assert not any("Abc123" in (r[0] or "") for r in spark.read.parquet(str(next(tmp_path.glob("secrets*")))).select("text").collect())
+
+
 def test_unlabelled_secrets_leave_recall(spark, docs, monkeypatch):
     """Secrets that no pattern knows count as others; they must not push thresholds above the findings."""
     rows = secrets.generated(seed=7, count=1500)

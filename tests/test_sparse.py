@@ -4,6 +4,7 @@ import math
 import random
 
 from tessera.operators import blocking, sparse
+from tessera.plans import linkage
 
 
 def _rows(spark, text_ids):
@@ -71,3 +72,5 @@ def test_no_row_for_each_shared_token(spark):
     words = [blocking.weights(blocking.postings(df, blocking.F.split(f, " ")), blocking.country_sizes(df)) for f in ("name_n", "addr_n")]
     out = sparse.top_views(sparse.packed_words(words), {"v": sparse.View((0, 1), 5, 0.02)})
     assert out.count() == 200 * 5 and out.filter("rec % 2 = 1 AND s1 = 2 * (rank - 1)").count() == 200 * 5
+    names = linkage.candidates.__code__.co_names
+    assert "index_scores" not in names and "pair_token_cosines" not in names

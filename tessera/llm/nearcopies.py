@@ -1,8 +1,13 @@
-"""Near copies by shingle similarity of at least 4/5: prefix keys, segment counts, exact verification, components.
+"""Near copies by shingle similarity of at least 4/5: fingerprints, prefix keys, segment counts, verification, components.
 
 Texts are lower-cased (A-Z), split at ASCII white space and cut into shingles of five words (the whole sequence if it has
 fewer); a text is the set of its shingles' 64-bit hashes. Texts link if their sets have a Jaccard similarity of 4/5.
 
+Fingerprints come first, by operator 7's method (``simhash``): a bit is set if it is set in over half the set's hashes, and
+fingerprints within its radius are found in cells of their two-bit segment counts. That finds the closest copies only: at a
+similarity of 4/5 two fingerprints differ in 9.7 of 64 bits on average. So the sets' own keys find the rest, and what either
+finds are candidates for the same verification.
+
 No pair is missed: linked sets of n and m shingles share at least ceil(4/5 max(n, m)), so in any order of all shingles
 their first common one is among the first n - ceil(4n/5) + 1 of each. The order is by the number of sets that hold a shingle:
 those of one set only come first and can be left out, and what is left of the first ones are a set's keys; most sets have
@@ -28,6 +33,8 @@ from tessera.llm import bytescan, simhash
 from tessera.llm.workspace import Workspace, partitions, spread_join
 
 WORDS, SEGMENTS = 5, 32
+#: Shingles whose bits are counted at a time, and those that one task sorts, about.
+BITS, SORTED = 1 << 16, 1_000_000
 #: Members that one task compares at once: by segment counts, and by their sets.
 CELL, BLOCK = 2048, 512
 #: Hot groups or texts whose list may be broadcast; beyond it they are joined by a shuffle.
@@ -71,8 +78,22 @@ def nodes_of(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return bytescan.mix((sums[first[1:]] - sums[first[:-1]]) ^ bytescan.mix(np.diff(first).astype(np.uint64))).view(np.int64)
 
 
+def fingerprints_of(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The fingerprint of each set, zero of an empty one."""
+    n = np.diff(first)
+    some = np.flatnonzero(n)
+    ones, origin = np.zeros((len(some), 64), np.int32), first[:-1][some]
+    for k in range(0, len(h), BITS):
+        bits = np.unpackbits(h[k : k + BITS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        low, high = np.searchsorted(origin, k, side="right") - 1, np.searchsorted(origin, k + len(bits))
+        ones[low:high] += np.add.reduceat(bits, np.maximum(origin[low:high] - k, 0), axis=0, dtype=np.int32)
+    out = np.zeros(len(n), np.int64)
+    out[some] = np.packbits(2 * ones > n[some][:, None], axis=1, bitorder="little").view(np.int64).reshape(-1)
+    return out
+
+
 def prints(df: DataFrame) -> DataFrame:
-    """(doc_id, copy, node, n, counts) of every row: hashes of text and set, size and segment counts of the set."""
+    """(doc_id, copy, node, fp, n, counts) of every row: hashes of text and set, fingerprint, size and segment counts of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = bytescan.SpanHasher()
@@ -85,11 +106,11 @@ def prints(df: DataFrame) -> DataFrame:
                 counts = np.bincount(owner * SEGMENTS + segment, minlength=len(n) * SEGMENTS)
                 counts = np.minimum(counts, 255).astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("copy"), pa.array(nodes_of(h, first)), pa.array(n.astype(np.int32)), pa.array([counts[k : k + SEGMENTS] for k in range(0, len(counts), SEGMENTS)], pa.binary())],
-                    names=["doc_id", "copy", "node", "n", "counts"],
+                    [part.column("doc_id").cast(pa.int64()), part.column("copy"), pa.array(nodes_of(h, first)), pa.array(fingerprints_of(h, first)), pa.array(n.astype(np.int32)), pa.array([counts[k : k + SEGMENTS] for k in range(0, len(counts), SEGMENTS)], pa.binary())],
+                    names=["doc_id", "copy", "node", "fp", "n", "counts"],
                 )
 
-    return df.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, "doc_id long, copy long, node long, n int, counts binary")
+    return df.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, "doc_id long, copy long, node long, fp long, n int, counts binary")
 
 
 def cells_of(h: np.ndarray) -> np.ndarray:
@@ -116,8 +137,8 @@ def common_cells(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([c for c, _ in found], np.int64), np.array([n for _, n in found], np.int64)
 
 
-def keys_of(df: DataFrame) -> DataFrame:
-    """(cell, node): the keys of every set, a row each.
+def keys_of(df: DataFrame, shingles: int = 0) -> DataFrame:
+    """(cell, node): the keys of every set, a row each; ``shingles`` tells how many there are, and so the tasks that sort them.
 
     The order of shingles is that of the number of sets that hold them; very common ones come last, in the order of their
     sample, so they need no count and their rows are spread over ``SPLIT`` tasks each.
@@ -168,7 +189,7 @@ def keys_of(df: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (c, node, least, sets)], names=["cell", "node", "least", "sets"])
 
     every = df.select("text").mapInArrow(spread, "cell long, node long, least int")
-    every = every.repartition(partitions(df.sparkSession), "cell").sortWithinPartitions("cell", "node")
+    every = every.repartition(max(partitions(df.sparkSession), shingles // SORTED), "cell").sortWithinPartitions("cell", "node")
     rows = every.mapInArrow(held, "cell long, node long, least int, sets long")
     own = W.partitionBy("node")
     rows = rows.select("*", F.row_number().over(own.orderBy("sets", "cell")).alias("place"), F.count("*").over(own).alias("shared"))
@@ -279,9 +300,20 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def by_fingerprint(nodes: DataFrame, work: Workspace) -> DataFrame:
+    """(a, b): sets with fingerprints within operator 7's radius; of equal fingerprints the least set stands for the others."""
+    owner = work.table("owners", nodes.groupBy("fp").agg(F.min("node").alias("owner")))
+    near = simhash.links(owner.select("fp"), Workspace(nodes.sparkSession, "fingerprints"))
+    far = owner.select(F.col("fp").alias("b"), F.col("owner").alias("_b"))
+    near = near.join(owner.select(F.col("fp").alias("a"), F.col("owner").alias("_a")), "a").join(far, "b").select("_a", "_b")
+    equal = nodes.select("fp", "node").join(owner, "fp").filter("node <> owner").select("owner", "node")
+    return near.union(equal).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+
+
 def candidates(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
     """(a, b): a graph of which every component of linked sets lies in one component."""
-    keys = work.table("keys", keys_of(df))
+    close = work.table("close", by_fingerprint(nodes, work))
+    keys = work.table("keys", keys_of(df, int(nodes.agg(F.sum("n")).first()[0] or 0)))
     rows = dealt(keys.join(nodes.select("node", "n", "counts"), "node"), "cell", CELL, work)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +324,7 @@ def candidates(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
             if len(left):
                 yield _edges(left, right)
 
-    return work.table("candidates", rows.mapInArrow(run, "a long, b long").distinct())
+    return work.table("candidates", rows.mapInArrow(run, "a long, b long").union(close).distinct())
 
 
 def links(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
@@ -334,7 +366,7 @@ def linked(df: DataFrame) -> DataFrame:
     """(doc_id, copy, component_id) for every row of ``df`` (doc_id, text)."""
     work = Workspace(df.sparkSession, "nearcopies")
     every = work.table("prints", prints(df))
-    nodes = work.table("nodes", every.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("copy").alias("copy"), *[F.first(c).alias(c) for c in ("n", "counts")]))
+    nodes = work.table("nodes", every.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("copy").alias("copy"), *[F.first(c).alias(c) for c in ("fp", "n", "counts")]))
     ids = simhash.component_ids(nodes, "node", simhash.components(links(df, nodes, work), work), work)
     return spread_join(every.select("doc_id", "copy", "node"), ids, "node", "doc_id").select("doc_id", "copy", "component_id")
 

@@ -69,3 +69,26 @@ def test_bounds_never_reject_a_link():
         if n and m and 5 * k >= 4 * (k + x + y):
             counts = [np.bincount(s % nearcopies.SEGMENTS, minlength=nearcopies.SEGMENTS)[None].astype(np.uint8) for s in (np.concatenate((a, b)), np.concatenate((a, c)))]
             assert nearcopies.may_link(np.array([n]), np.array([m]), *counts).all()
+
+
+def test_fingerprints_come_first(spark):
+    """The sets' fingerprints are majorities of their hashes, and near ones are candidates even if the sets' keys are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.llm import bytescan
+    from tessera.llm.workspace import Workspace
+
+    words = [f"w{k}" for k in range(4000)]
+    texts = ["", "one", " ".join(words), " ".join([*words[:-1], "x"]), " ".join(words[::-1]), None]
+    h, first = nearcopies.shingles_of(pa.array(texts, pa.string()), bytescan.SpanHasher())
+    got = nearcopies.fingerprints_of(h, first).view(np.uint64)
+    for k in range(len(texts)):
+        own = h.view(np.uint64)[first[k] : first[k + 1]].tolist()
+        assert int(got[k]) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    every = nearcopies.prints(df)
+    node = {r["doc_id"]: r["node"] for r in every.collect()}
+    nodes = every.groupBy("node").agg(*[nearcopies.F.first(c).alias(c) for c in ("fp", "n")])
+    edges = {(r["a"], r["b"]) for r in nearcopies.by_fingerprint(nodes, Workspace(spark, "t")).collect()}
+    assert edges == {tuple(sorted((node[2], node[3])))}

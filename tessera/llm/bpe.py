@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bytescan, tokens
-from tessera.llm.workspace import bounded_batches
+from tessera.llm.workspace import bounded_batches, mapped
 
 #: Characters of a piece, and symbols of a word beyond the lookahead, that are taken in before what is stable is emitted.
 CHUNK = 256
@@ -359,7 +359,7 @@ def encode_texts(df: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
                     out.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(every))))
                 yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in keep), *(x.cast(arrow.field(len(keep) + k).type) for k, x in enumerate(out))], schema=arrow)
 
-    return df.select(list(dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)
+    return mapped(df.select(list(dict.fromkeys([*keep, "text"]))), run, schema)
 
 
 def op3_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.llm import bytescan
 from tessera.llm.fmindex import FMIndex
-from tessera.llm.workspace import bounded_batches, each, shielded
+from tessera.llm.workspace import bounded_batches, each, mapped, shielded
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -201,7 +201,7 @@ def findings(df: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
         if parts:
             yield from shard(parts)
 
-    return df.select(list(dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)
+    return mapped(df.select(list(dict.fromkeys([*keep, "text"]))), run, schema)
 
 
 def report(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:

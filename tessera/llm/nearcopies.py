@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan, simhash
-from tessera.llm.workspace import Workspace, partitions, spread_join
+from tessera.llm.workspace import Workspace, mapped, partitions, spread_join
 
 WORDS, SEGMENTS = 5, 32
 #: Shingles whose bits are counted at a time, and those that one task sorts, about.
@@ -110,7 +110,7 @@ def prints(df: DataFrame) -> DataFrame:
                     names=["doc_id", "copy", "node", "fp", "n", "counts"],
                 )
 
-    return df.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, "doc_id long, copy long, node long, fp long, n int, counts binary")
+    return mapped(df.select("doc_id", F.xxhash64("text").alias("copy"), "text"), run, "doc_id long, copy long, node long, fp long, n int, counts binary")
 
 
 def cells_of(h: np.ndarray) -> np.ndarray:
@@ -132,7 +132,7 @@ def common_cells(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     sample = df.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_EVERY)) == 0)
     least = max(LEAST_COMMON, sample.count() // COMMON_SHARE)
-    counts = sample.mapInArrow(run, "cell long").groupBy("cell").count().filter(F.col("count") >= least)
+    counts = mapped(sample, run, "cell long").groupBy("cell").count().filter(F.col("count") >= least)
     found = sorted(tuple(r) for r in counts.orderBy(F.desc("count"), "cell").limit(MOST_COMMON).collect())
     return np.array([c for c, _ in found], np.int64), np.array([n for _, n in found], np.int64)
 
@@ -188,9 +188,9 @@ def keys_of(df: DataFrame, shingles: int = 0) -> DataFrame:
             if some.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (c, node, least, sets)], names=["cell", "node", "least", "sets"])
 
-    every = df.select("text").mapInArrow(spread, "cell long, node long, least int")
+    every = mapped(df.select("text"), spread, "cell long, node long, least int")
     every = every.repartition(max(partitions(df.sparkSession), shingles // SORTED), "cell").sortWithinPartitions("cell", "node")
-    rows = every.mapInArrow(held, "cell long, node long, least int, sets long")
+    rows = mapped(every, held, "cell long, node long, least int, sets long")
     own = W.partitionBy("node")
     rows = rows.select("*", F.row_number().over(own.orderBy("sets", "cell")).alias("place"), F.count("*").over(own).alias("shared"))
     return rows.filter("place <= shared - least + 1").select("cell", "node")
@@ -324,7 +324,7 @@ def candidates(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
             if len(left):
                 yield _edges(left, right)
 
-    return work.table("candidates", rows.mapInArrow(run, "a long, b long").union(close).distinct())
+    return work.table("candidates", mapped(rows, run, "a long, b long").union(close).distinct())
 
 
 def links(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
@@ -342,7 +342,7 @@ def links(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
                 h, first = shingles_of(part.column("text"), hasher)
                 yield pa.RecordBatch.from_arrays([part.column("node"), part.column("root"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h))], names=["node", "root", "hashes"])
 
-    rows = dealt(work.table("sets", texts.select("node", "root", "text").mapInArrow(read, "node long, root long, hashes array<long>")), "root", BLOCK, work)
+    rows = dealt(work.table("sets", mapped(texts.select("node", "root", "text"), read, "node long, root long, hashes array<long>")), "root", BLOCK, work)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, "root", "block"):
@@ -359,7 +359,7 @@ def links(df: DataFrame, nodes: DataFrame, work: Workspace) -> DataFrame:
             if sum(map(len, left)):
                 yield _edges(np.concatenate(left), np.concatenate(right))
 
-    return work.table("links", rows.mapInArrow(run, "a long, b long").distinct())
+    return work.table("links", mapped(rows, run, "a long, b long").distinct())
 
 
 def linked(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace, shielded
+from tessera.llm.workspace import Workspace, mapped, shielded
 
 BUCKETS = 10_000
 KINDS = 3
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Model:
         if len(some):
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bucket", "raw", "target"])
 
-    sums = docs.select("doc_id", "text").mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()
+    sums = mapped(docs.select("doc_id", "text"), count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()
     counts = np.zeros((2, KINDS, BUCKETS))
     for bucket, raw, target in sums:
         counts[:, bucket // BUCKETS, bucket % BUCKETS] = raw, target
@@ -147,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Model:
     seen = counts[1].sum(axis=1, keepdims=True)
     target = (counts[1] + PRIOR * raw) / (seen + PRIOR)  # few target n-grams leave the ratio near one
     model = Model(np.log(target / raw).ravel(), -np.inf)
-    held = docs.select("doc_id", "text").mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast((model, shared.value[2]))), "doc_id long, log_weight double")
+    held = mapped(docs.select("doc_id", "text"), _scores(docs.sparkSession.sparkContext.broadcast((model, shared.value[2]))), "doc_id long, log_weight double")
     scores = [(w, quality[i]) for i, w in held.collect()]  # at most the labelled sample
     model.cutoff = cutoff_of([w for w, q in scores if q], [w for w, q in scores if not q])
     return model
@@ -210,7 +210,7 @@ def keyed(docs: DataFrame, model: Model, seed: int, keep: list[str], least: int
                 out = pa.RecordBatch.from_arrays(columns, schema=arrow)
                 yield out if least is None else out.filter(pa.array(key >= least))
 
-    return docs.select(list(dict.fromkeys([*keep, "doc_id", "text"]))).mapInArrow(run, schema)
+    return mapped(docs.select(list(dict.fromkeys([*keep, "doc_id", "text"]))), run, schema)
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: int = SEED, limit: int = FIT_ROWS) -> tuple[DataFrame, Model, int | None]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace, bounded_batches, shielded
+from tessera.llm.workspace import Workspace, bounded_batches, mapped, shielded
 
 KINDS = ("assign", "access", "hex", "network")
 SAMPLE_DOCS = 6_000
@@ -307,7 +307,7 @@ def labelled(docs: DataFrame, limit: int) -> list[tuple[bytes, int, int, int]]:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *(pa.array([int(r[k]) for r in rows], pa.int32()) for k in (1, 2, 3, 4))], names=["around", "a", "b", "label", "shape"])
 
-    found = rows.select("text").mapInArrow(run, "around binary, a int, b int, label int, shape int").groupBy("around", "a", "b", "shape").agg(F.max("label").alias("label"))
+    found = mapped(rows.select("text"), run, "around binary, a int, b int, label int, shape int").groupBy("around", "a", "b", "shape").agg(F.max("label").alias("label"))
     found = Workspace(docs.sparkSession, "secrets").table("sample", found)
     sizes = found.groupBy("label", "shape").agg(F.count("*").alias("n"))  # eight rows at most
     draw = F.pmod(F.xxhash64("around", "a"), F.lit(1 << 20)) * F.col("n")
@@ -420,7 +420,7 @@ def findings(docs: DataFrame, model: Model | None, keep: list[str], mark: str |
                 columns = [*(pa.array(n[:, k]) for k in range(4)), pa.array(digests), pa.array(texts), pa.array(cuts, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in keep), *(x.cast(arrow.field(len(keep) + k).type) for k, x in enumerate(columns))], schema=arrow)
 
-    return docs.select(list(dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)
+    return mapped(docs.select(list(dict.fromkeys([*keep, "text"]))), run, schema)
 
 
 def replaced(text: str, cuts: list[int], mark: str) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bytescan
-from tessera.llm.workspace import Workspace, partitions, shielded, spread_join
+from tessera.llm.workspace import Workspace, mapped, partitions, shielded, spread_join
 
 WORDS, SEED, RADIUS = 4, 42, 4
 #: Groups of segments whose counts make a cell; one more divides the pairs within cells by about eight here.
@@ -98,7 +98,7 @@ def fingerprints(df: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFra
                 fp = fingerprints_of(part.column("text"), words, seed)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("copy"), pa.array(fp.view(np.int64))], names=["doc_id", "copy", "fp"])
 
-    return df.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, "doc_id long, copy long, fp long")
+    return mapped(df.select("doc_id", F.xxhash64("text").alias("copy"), "text"), run, "doc_id long, copy long, fp long")
 
 
 def embedding(fp: np.ndarray) -> np.ndarray:
@@ -126,7 +126,7 @@ def cells(nodes: DataFrame, radius: int) -> DataFrame:
                     cell = bytescan.mix((counts & np.uint64(mask)) + bytescan.mix(np.array([k], np.uint64)))
                     yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp)], names=["cell", "fp"])
 
-    return nodes.select("fp").mapInArrow(run, "cell long, fp long")
+    return mapped(nodes.select("fp"), run, "cell long, fp long")
 
 
 def in_range(a: np.ndarray, b: np.ndarray, fa: np.ndarray, fb: np.ndarray, radius: int) -> np.ndarray:
@@ -219,7 +219,7 @@ def links(nodes: DataFrame, work: Workspace, radius: int = RADIUS) -> DataFrame:
         if found := out(*kept):
             yield found
 
-    found = dealt.select("cell", "block", "fp").mapInArrow(run, "a long, b long")
+    found = mapped(dealt.select("cell", "block", "fp"), run, "a long, b long")
     return work.table("links", found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 

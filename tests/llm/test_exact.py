@@ -370,3 +370,27 @@ def test_top_k_skips_products(spread):
 def test_slices_cover_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (0, 5, 50, 1, 0, 7)] + [None])], names=["text"])
     assert [p.num_rows for p in bytescan.slices(batch, "text", 8)] == [2, 1, 4]
+
+
+def test_byte_comparison_takes_little_memory(spark):
+    """A shard's words are compared a part at a time, and readers decode few whole texts at once."""
+    import tracemalloc
+
+    from tessera.llm import workspace
+
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 12, 500_000)
+    sizes[1000] = 600_000  # a word longer than a part
+    buf = rng.integers(97, 99, int(sizes.sum()), dtype=np.uint8)
+    at = np.cumsum(sizes) - sizes
+    other = buf.copy()
+    other[at[[5, 1000, -1]]] ^= 64
+    tracemalloc.start()
+    got = bytescan.same(buf, at, other, at, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.flatnonzero(~got).tolist() == [5, 1000, len(sizes) - 1]
+    assert peak < 48 << 20
+    assert bytescan.same(buf, at[:0], buf, at[:0], sizes[:0]).tolist() == []
+    workspace.Workspace(spark, "settings")
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512

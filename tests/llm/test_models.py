@@ -373,3 +373,42 @@ def test_unlabelled_secrets_leave_recall(spark, docs, monkeypatch):
     assert model.accepts(*secrets.laid_out(found)).mean() >= 0.9
     assert np.isfinite(model.thresholds).all() and np.nanmax(model.false_rates) > 0
     assert (np.arange(100) >= secrets.recall_threshold(np.arange(100))).mean() >= secrets.RECALL
+
+
+def test_training_reads_every_candidate(spark, docs, monkeypatch):
+    """No sample and no length bound: all windows of all candidates, in several parts, and thresholds from all held-out findings."""
+    rng = np.random.default_rng(12)
+    long = ["".join(rng.choice(list("abcXYZ0189+/"), n)) for n in (1023, 1024, 1025, 2032, 2033, 5000)]
+    texts = [r[0] for r in docs.select("text").collect()] + [f"é {t} and more" for t in long] + ["x secret=" + "Zq9" * 700]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = secrets.labelled(table).collect()
+
+    def seen(label):
+        own = [(bytes(r["around"]), r["a"], r["b"], label) for r in rows if r["label"] == label]
+        return {x.tobytes() for x in secrets.windows(*secrets.laid_out(own))[0]}
+
+    scan = secrets.Scan(pa.array(texts))
+    for label, spans in ((secrets.UNLABELLED, np.stack((scan.start, scan.end), axis=1)[~scan.touched]), (secrets.FINDING, scan.values)):
+        text = np.searchsorted(scan.bounds, spans[:, 0], side="right") - 1
+        wanted = {x.tobytes() for x in secrets.windows(scan.buf, spans[:, 0], spans[:, 1], scan.bounds[text], scan.bounds[text + 1] - 1)[0]}
+        assert wanted == seen(label) if label == secrets.UNLABELLED else wanted <= seen(label)
+
+    calls = []
+    monkeypatch.setattr(secrets, "PART_ROWS", 700)
+    monkeypatch.setattr(secrets, "PASSES", (6, 6))
+    trained = secrets.trained
+    monkeypatch.setattr(secrets, "trained", lambda rows, more, passes, parts, seed: calls.append((rows.count(), rows.select("part").distinct().count(), parts)) or trained(rows, more, passes, parts, seed))
+    model = secrets.fit(table)
+    assert calls[0] == (sum(not r["held"] for r in rows), calls[0][2], calls[0][2]) and calls[0][2] > 3
+    assert 0.9 * calls[0][0] <= calls[1][0] <= calls[0][0]
+    assert np.nanmin(model.recalls) >= secrets.RECALL and np.nanmax(model.false_rates) <= 0.02
+
+
+def test_exact_order_statistics(spark):
+    rng = np.random.default_rng(1)
+    raw = np.concatenate((rng.normal(0, 20, 3000), [0.0, 0.0, -1e-30, 1e-30, np.inf, -np.inf])).astype(np.float32)
+    keys, shape = secrets.keys_of(raw), rng.integers(0, 3, len(raw))
+    assert (secrets.keys_of(keys.view(np.float32)).view(np.float32) == raw).all() and (np.diff(raw[np.argsort(keys)][1:-1]) >= 0).all()
+    rows = spark.createDataFrame(list(zip(shape.tolist(), keys.tolist())), "shape int, key int")
+    wanted = {0: 0, 1: 17, 2: int((shape == 2).sum()) - 1}
+    assert secrets.nth_keys(rows, wanted) == {k: int(np.sort(keys[shape == k])[n]) for k, n in wanted.items()}

@@ -74,3 +74,31 @@ def test_no_row_for_each_shared_token(spark):
     assert out.count() == 200 * 5 and out.filter("rec % 2 = 1 AND s1 = 2 * (rank - 1)").count() == 200 * 5
     names = linkage.candidates.__code__.co_names
     assert "index_scores" not in names and "pair_token_cosines" not in names
+
+
+def test_words_of_any_number_of_entities(spark, tmp_path):
+    """A word that more than 2,000 entities hold finds partners in q_token_topk_full; other queries keep to their SQL."""
+    import duckdb
+
+    from tessera.plans import record_queries as R
+
+    letters = lambda k: "q" + "".join(chr(97 + int(x)) for x in str(k))
+    many = R.MOST_ENTITIES + 1
+    rows = [(k, f"shared {letters(k)}" if k else "shared only", "src1") for k in range(many)]
+    # by the common word of its name alone; by the same and a word of one entity; by nothing
+    rows += [(many, "shared", "src9"), (many + 1, f"shared {letters(5)}", "src15"), (many + 2, "other words", "src9")]
+    db = duckdb.connect()
+    db.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    db.executemany("INSERT INTO documents VALUES (?, ?, 'en', ?, 1)", rows)
+    db.sql(f"COPY documents TO '{tmp_path}/documents.parquet'")
+    found = {name: sorted(map(tuple, R.QUERIES[name](spark, str(tmp_path)).collect())) for name in ("q_token_topk_full", "q_jaro_winkler", "q_pair_agreement")}
+    for name in found:
+        assert found[name] == sorted(db.sql(R.SQL[name]).fetchall())
+    idf = {n: math.log((1 + len(rows)) / (1 + n)) + 1 for n in (1, 2, many + 2)}
+    # words of one entity weigh alike: ties go to the smaller id, but that of the second record has a lighter word
+    common, rare, twice = idf[many + 2], idf[1], idf[2]
+    score = {k: common / math.hypot(common, twice if k == 5 else rare) for k in range(many)}
+    best = sorted(score, key=lambda k: (-score[k], k))[:10]
+    assert [r for r in found["q_token_topk_full"] if r[0] == many] == sorted((many, k, round(score[k], 6), n + 1) for n, k in enumerate(best))
+    assert {r[1] for r in found["q_token_topk_full"] if r[0] == many + 1} >= {5}
+    assert {r[0] for r in found["q_jaro_winkler"]} == {r[0] for r in found["q_pair_agreement"]} == {many + 1}
